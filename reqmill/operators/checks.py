@@ -247,11 +247,11 @@ def row_checks(landed: DataFrame, now: Column) -> DataFrame:
         (F.count("*") - 1).alias("dup"),
         *[F.count_if(bad).alias(f"c{i}") for i, (_, _, bad, _) in enumerate(rules)])
     totals = per_id.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in per_id.columns[1:]])
+    counted = [(name, mirrors, f"c{i}", detail) for i, (name, mirrors, _, detail) in enumerate(rules)]
+    counted.append(("unique: request_id", "unique_fct_request_id", "dup", ""))
     out = [F.struct(F.lit(name).alias("check"), F.lit(mirrors).alias("mirrors"),
-                    F.col(f"c{i}").alias("failures"), F.lit(detail).alias("detail"))
-           for i, (name, mirrors, _, detail) in enumerate(rules)]
-    out.append(F.struct(F.lit("unique: request_id"), F.lit("unique_fct_request_id"),
-                        F.col("dup"), F.lit("")))
+                    F.col(c).alias("failures"), F.lit(detail).alias("detail"))
+           for name, mirrors, c, detail in counted]
     backdated_row = F.col("mirrors") == "assert_closed_after_created"
     return totals.select(F.inline(F.array(*out))).select(
         "check", "mirrors", "failures",

@@ -117,16 +117,19 @@ def daily_sla(fact: DataFrame) -> DataFrame:
     its rows. Hours are three-decimal numbers, summed as whole thousandths, so the
     average does not depend on the order of addition.
     """
+    def cell(by_type, complaint_type, hours, is_closed):
+        return F.struct(F.lit(by_type).alias("by_type"), complaint_type.alias("complaint_type"),
+                        hours.alias("hours"), is_closed.alias("closed"))
+
+    none = F.lit(None)
     rows = fact.select(
         "created_date", F.coalesce("borough", F.lit("UNSPECIFIED")).alias("borough"), "agency_code",
         F.inline(F.array(
-            F.struct(F.lit(True).alias("by_type"), "complaint_type",
-                     F.lit(None).cast("double").alias("hours"), "is_closed"),
-            F.struct(F.lit(False), F.lit(None).cast("string"),
-                     F.col("resolution_hours"), F.lit(False)))))
+            cell(True, F.col("complaint_type"), none.cast("double"), F.col("is_closed")),
+            cell(False, none.cast("string"), F.col("resolution_hours"), F.lit(False)))))
     rows = rows.where(F.col("by_type") | F.col("hours").isNotNull())
     cells = rows.groupBy(*_DAY, "by_type", "complaint_type", "hours").agg(
-        F.count("*").alias("n"), F.count_if("is_closed").alias("closed"))
+        F.count("*").alias("n"), F.count_if("closed").alias("closed"))
 
     whole = Window.partitionBy(*_DAY)
     timed = F.when(~F.col("by_type"), F.col("n")).otherwise(F.lit(0))

@@ -36,6 +36,16 @@ def replace_batch(df: DataFrame, path: str, batch_date: str) -> int:
     return read_landing(df.sparkSession, path).where(F.col("_batch_date") == batch_date).count()
 
 
+def replace_batches(df: DataFrame, path: str) -> None:
+    """Replace every batch that has rows in `df`, in one job.
+
+    A batch without rows is left alone; use replace_batch to empty one.
+    """
+    (df.select(FIELD_NAMES + LINEAGE).hint("rebalance", "_batch_date")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("_batch_date").parquet(path))
+
+
 def read_or_none(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
     try:
         return spark.read.schema(schema).parquet(path)
