@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 # A date, alone or followed by at least hours and minutes. Spark would also read
 # '2024', '2024-01' and '2024-01-15 10'.
 _TIMESTAMP_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}($|[ T]\d{1,2}:\d{1,2})"
-# Java number suffixes, which Spark accepts: '1.0d', '1f'.
-_SUFFIXED_NUMBER = r"[0-9.][dDfF]$"
 
 
 def text(c: Column) -> Column:
@@ -39,7 +37,10 @@ def to_timestamp(c: Column) -> Column:
 
 def to_double(c: Column) -> Column:
     value = text(c)
-    return F.when(~value.rlike(_SUFFIXED_NUMBER), value.try_cast("double"))
+    # Java number suffixes, which Spark accepts: '1.0d', '1f'.
+    suffixed = (F.substring(value, -1, 1).isin("d", "D", "f", "F")
+                & ~F.endswith(F.lower(value), F.lit("inf")))
+    return F.when(~suffixed, value.try_cast("double"))
 
 
 def ntz(value: dt.datetime | dt.date | str) -> Column:

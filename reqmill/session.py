@@ -20,6 +20,9 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods over 8000 bytes. Staging's 23 casts in one
+    # generated method ran at a third of the speed; above the limit Spark splits it.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -401,7 +401,7 @@ def map_flatten(spark, d):
 
 @query
 def fuzzy_candidates(spark, d):
-    pages = I.table(spark, d, "pages").select("page_id", F.col("url").alias("source_column"))
+    pages = I.spread(I.table(spark, d, "pages").select("page_id", F.col("url").alias("source_column")))
     return M.fuzzy_candidates(pages, top_n=3)
 
 
