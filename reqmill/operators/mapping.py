@@ -275,7 +275,7 @@ def mapping_stats(decisions: DataFrame) -> DataFrame:
         F.array_join("missing_required", ",").alias("missing_required"))
 
 
-def mapping_rollup(stats: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+def mapping_rollup(stats: DataFrame) -> DataFrame:
     """The batch over its systems; rates are weighted by columns."""
     s = stats.agg(
         F.count("*").alias("source_systems"), F.sum("columns_total").alias("columns_total"),
@@ -284,16 +284,17 @@ def mapping_rollup(stats: DataFrame, errors: DataFrame | None = None) -> DataFra
         *[F.sum(m).alias(m) for m in METHODS],
         F.bool_or(F.col("llm") > 0).alias("llm_used"),
         F.count_if(F.col("missing_required") != "").alias("systems_missing_required"))
-    s = s.select("source_systems", "columns_total", "columns_mapped", "columns_auto_mapped",
+    return s.select("source_systems", "columns_total", "columns_mapped", "columns_auto_mapped",
                  F.coalesce(ratio(F.col("columns_auto_mapped"), F.col("_auto")), F.lit(0.0)).alias("auto_match_rate"),
                  *METHODS,
                  F.coalesce(ratio(F.col("fuzzy"), F.col("columns_mapped")), F.lit(0.0)).alias("fallback_rate"),
                  "llm_used", "systems_missing_required")
-    if errors is not None:
-        listed = errors.where(F.col("error").isNotNull()).agg(
-            F.sort_array(F.collect_list(F.struct("source_system", "error")))["error"].alias("errors"))
-        s = s.crossJoin(listed)
-    return s
+
+
+def mapping_errors(stats: DataFrame) -> DataFrame:
+    """Systems that cannot be landed, with the reason."""
+    return stats.where(F.col("missing_required") != "").select("source_system", F.concat(
+        F.lit("required canonical fields left unmapped: "), "missing_required").alias("error"))
 
 
 def proposal_counts(claims: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reqmill.functions.scalars import round_half
@@ -123,6 +123,11 @@ def failing_checks(results: DataFrame) -> DataFrame:
         F.col("test").alias("check"), F.col("failures").alias("failing_rows"))
 
 
+def _record(one_row: DataFrame) -> Column:
+    """A one-row frame as a struct, by scalar subquery."""
+    return one_row.select(F.struct("*")).scalar()
+
+
 def headline(fact: DataFrame, decisions: DataFrame, summary: DataFrame) -> DataFrame:
     """One row of totals over the fact, the decisions and the checks."""
     auto = F.col("method") != "override"
@@ -133,19 +138,18 @@ def headline(fact: DataFrame, decisions: DataFrame, summary: DataFrame) -> DataF
         F.count("*").alias("mapping_decisions"),
         (F.count_if(mapped).cast("double") / F.nullif(F.count_if(auto), F.lit(0))).alias("auto_match_rate"))
     checks = summary.select("tests_total", "tests_failed", "test_pass_rate")
-    # Three one-row frames side by side.
-    return rows.crossJoin(tiers).crossJoin(checks)
+    return rows.select("*", _record(tiers).alias("m"), _record(checks).alias("q")).select(
+        *rows.columns, "m.*", "q.*")
 
 
 def run_report(batch_date: str, batch_id: str, funnel: DataFrame, summary: DataFrame,
                rollup: DataFrame, histogram: DataFrame) -> DataFrame:
     """The run as one nested record."""
-    def listed(df, columns):
-        return df.agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("x"))
-
-    one = (listed(funnel, ["stage", "rows"]).withColumnRenamed("x", "row_counts")
-           .crossJoin(summary.select(F.struct("*").alias("tests")))
-           .crossJoin(rollup.select(F.struct("*").alias("mapping")))
-           .crossJoin(listed(histogram, ["position", "bucket", "columns"])
-                      .withColumnRenamed("x", "confidence")))
-    return one.select(F.lit(batch_date).alias("batch_date"), F.lit(batch_id).alias("batch_id"), "*")
+    def listed(df, *columns):
+        return df.agg(F.sort_array(F.collect_list(F.struct(*columns)))).scalar()
+
+    return funnel.sparkSession.range(1).select(
+        F.lit(batch_date).alias("batch_date"), F.lit(batch_id).alias("batch_id"),
+        listed(funnel, "stage", "rows").alias("row_counts"),
+        _record(summary).alias("tests"), _record(rollup).alias("mapping"),
+        listed(histogram, "position", "bucket", "columns").alias("confidence"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,13 +59,10 @@ def ordered_index(df: DataFrame, order: Sequence[str], name: str = "row_index")
               .withColumn("_part", F.spark_partition_id())
               .withColumn("_place", in_partition)
               .checkpoint())
-    # One row per partition: small enough to lay out in a single array.
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("n"))
-    parts = sizes.agg(F.sort_array(F.collect_list(F.struct("_part", "n"))).alias("parts"))
-    starts = parts.select(F.posexplode("parts").alias("i", "p"), "parts").select(
-        F.col("p._part").alias("_part"),
-        F.aggregate(F.slice("parts", F.lit(1), F.col("i")), F.lit(0).cast("bigint"),
-                    lambda acc, x: acc + x["n"]).alias("_start"))
+    # One row per partition, so a single-task window and a broadcast are small.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_part").agg(F.count("*").alias("n")).select(
+        "_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
     return (placed.join(F.broadcast(starts), "_part")
             .withColumn(name, F.col("_start") + F.col("_place"))
             .drop("_part", "_place", "_start"))

@@ -9,6 +9,10 @@ import pathlib
 import duckdb
 
 
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+         "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for path in sorted(pathlib.Path(sf_dir).glob("*.parquet")):
@@ -41,6 +45,9 @@ def differences(df, con: duckdb.DuckDBPyConnection, sql: str, limit: int = 5) ->
     want = _rows(names, result.fetchall())
     if sorted(df.columns) != sorted(names):
         return [f"columns {sorted(df.columns)} / {sorted(names)}"]
-    out = [] if len(got) == len(want) else [f"rows {len(got)} / {len(want)}"]
+    kinds = {c[0]: str(c[1]).upper() for c in result.description}
+    out = [f"{name}: {dtype} / {kinds[name]}" for name, dtype in df.dtypes
+           if TYPES.get(dtype) != kinds[name]]
+    out += [] if len(got) == len(want) else [f"rows {len(got)} / {len(want)}"]
     pairs = [(a, b) for a, b in zip(got, want) if a != b or [type(x) for x in a] != [type(x) for x in b]]
     return out + [f"{sorted(names)}\n  spark {a}\n  sql   {b}" for a, b in pairs[:limit]]

@@ -376,6 +376,10 @@ add("map_live_stats", GOLD, f"select count(*) as columns, {_RATE} as auto_match_
 add("map_missing_required", _feeds("missing", [
     ("legacy_crm", "request_id"), ("vendor_csv", "complaint_type"), ("mobile_app_v2", "complaint_type")],
     "dialect, canonical_field"), "select source_system, canonical_field from missing")
+add("map_errors", _feeds("missing", [
+    ("legacy_crm", "request_id"), ("vendor_csv", "complaint_type"), ("mobile_app_v2", "complaint_type")],
+    "dialect, canonical_field"), """select source_system,
+  'required canonical fields left unmapped: ' || canonical_field as error from missing""")
 add("map_flatten", GOLD, """select source_system, source_column, canonical_field, method,
   cast(confidence as double) as confidence from gold""")
 add("decision_log", GOLD, """select method, count(*) as columns, 2 * count(*) as logged
@@ -554,3 +558,93 @@ add("live_fact", _LIVE, """select request_id, _batch_id, created_at, closed_at,
   round(case when not coalesce(closed_at < created_at, false)
         then date_diff('microsecond', created_at, closed_at) / 1000000.0 / 3600.0 end, 6) as resolution_hours
 from live""")
+
+
+# --- similarity -----------------------------------------------------------
+
+
+def _fuzzy(probes: str) -> str:
+    """Every probe against every phrase, by the plain formulas.
+
+    The common subsequence is counted bit-parallel: one bit per position of the
+    shorter string, one step per character of the other.
+    """
+    return f"""with {PHRASE_TABLE},
+probes as ({probes}),
+split as (select p, i, phrase as q, field, list_sort(string_split(p, ' ')) as pt,
+                 list_sort(string_split(phrase, ' ')) as qt
+          from (select distinct p from probes), phrases),
+sets as (select *, list_sort(list_distinct(pt)) as pu, list_sort(list_distinct(qt)) as qu from split),
+parts as (select p, i, q, field, array_to_string(pt, ' ') as ps, array_to_string(qt, ' ') as qs,
+                 array_to_string(pu, ' ') as pd, array_to_string(qu, ' ') as qd,
+                 array_to_string(list_filter(pu, lambda x: list_contains(qu, x)), ' ') as common,
+                 array_to_string(list_filter(pu, lambda x: not list_contains(qu, x)), ' ') as only_p,
+                 array_to_string(list_filter(qu, lambda x: not list_contains(pu, x)), ' ') as only_q
+          from sets),
+pairs as (select *, trim(common || ' ' || only_p) as with_p, trim(common || ' ' || only_q) as with_q,
+                 greatest(length(p), length(q)) / cast(least(length(p), length(q)) as double) as spread
+          from parts),
+whole as (select p as a, q as b from pairs union select ps, qs from pairs union select with_p, with_q from pairs
+          union select common, with_p from pairs where common <> ''
+          union select common, with_q from pairs where common <> ''),
+searches as (select p as a, q as b from pairs union select ps, qs from pairs where common = ''
+             union select pd, qd from pairs where common = ''),
+sided as (select a, b, a as short, b as long from searches where length(a) <= length(b)
+          union select a, b, b, a from searches where length(b) <= length(a)),
+windows as (select a, b, short, substr(long, greatest(start, 0) + 1,
+                   cast(length(short) + least(start, 0) as bigint)) as w
+            from (select *, unnest(range(1 - length(short), length(long))) as start from sided)),
+jobs as (select distinct case when length(a) <= length(b) then a else b end as s,
+                         case when length(a) <= length(b) then b else a end as t
+         from (select a, b from whole union select short, w from windows)),
+scored as (select s, t, case when length(s) + length(t) = 0 then 100.0 else
+    200.0 * (length(s) - bit_count(list_reduce(
+        list_transform(string_split(t, ''), lambda c: cast(coalesce(list_sum(list_transform(
+            range(length(s)), lambda k: case when substr(s, k + 1, 1) = c then 1::bigint << k else 0 end)), 0) as bigint)),
+        lambda row, m: ((row + (row & m)) | (row - (row & m))) & ((1::bigint << length(s)) - 1),
+        (1::bigint << length(s)) - 1))) / (length(s) + length(t)) end as r from jobs),
+whole_r as (select a, b, r from whole join scored
+            on s = (case when length(a) <= length(b) then a else b end)
+           and t = (case when length(a) <= length(b) then b else a end)),
+partial_r as (select a, b, max(r) as r from windows join scored
+              on s = (case when length(short) <= length(w) then short else w end)
+             and t = (case when length(short) <= length(w) then w else short end)
+              group by a, b),
+measured as (
+  select x.p, x.i, x.q, x.field, x.common, x.only_p, x.only_q, x.spread, w1.r as plain, w2.r as sorted_r,
+         greatest(w3.r, coalesce(w4.r, 0), coalesce(w5.r, 0)) as sets_r, p1.r as part,
+         greatest(coalesce(p2.r, 0), coalesce(p3.r, 0)) as part_words
+  from pairs x join whole_r w1 on w1.a = x.p and w1.b = x.q join whole_r w2 on w2.a = x.ps and w2.b = x.qs
+  join whole_r w3 on w3.a = x.with_p and w3.b = x.with_q
+  left join whole_r w4 on x.common <> '' and w4.a = x.common and w4.b = x.with_p
+  left join whole_r w5 on x.common <> '' and w5.a = x.common and w5.b = x.with_q
+  join partial_r p1 on p1.a = x.p and p1.b = x.q
+  left join partial_r p2 on x.common = '' and p2.a = x.ps and p2.b = x.qs
+  left join partial_r p3 on x.common = '' and p3.a = x.pd and p3.b = x.qd),
+measures as (select *, case when common <> '' and (only_p = '' or only_q = '') then 100.0 else sets_r end as token_set,
+                    case when spread <= 8 then 0.9 else 0.6 end as scale from measured),
+totals as (select p, i, q, field, round(least(token_set, case when spread < 1.5
+             then greatest(plain, 0.95 * greatest(sorted_r, token_set))
+             else greatest(plain, scale * part, 0.95 * scale * case when common <> '' then 100.0 else part_words end) end)
+           / 100.0, 4) as score from measures),
+best as (select *, row_number() over (partition by p, field order by score desc, i) as n from totals),
+ranked as (select *, row_number() over (partition by p order by score desc, i) as candidate_rank from best where n = 1)"""
+
+
+_PROBE = "replace(" + _NORM.format("{0}") + ", '_', ' ')"
+ORACLES["fuzzy_candidates"] = _fuzzy(
+    f"select page_id, url as source_column, {_PROBE.format('url')} as p from pages") + """
+select page_id, source_column, cast(candidate_rank as int) as candidate_rank, field as canonical_field,
+       q as matched_phrase, score
+from probes join ranked using (p) where candidate_rank <= 3"""
+_HEADERS = "(" + _values([(s, i, h) for s, i, h, _ in D.dialect_rows()]) + ") h(dialect, ordinal, source_column)"
+ORACLES["fuzzy_feed_candidates"] = _fuzzy(
+    f"""select s_name as source_system, ordinal, source_column, {_PROBE.format('source_column')} as p
+from supplier join {_HEADERS} on dialect = ({_ORDER})[1 + s_suppkey % 4]""") + """
+select source_system, ordinal, source_column, cast(candidate_rank as int) as candidate_rank,
+       field as canonical_field, q as matched_phrase, score
+from probes join ranked using (p) where candidate_rank <= 4"""
+
+add("daily_sla_approx", FACT, """select created_date, coalesce(borough, 'UNSPECIFIED') as borough, agency_code,
+  count(*) as requests_opened, quantile_disc(resolution_hours, 0.5) as median_resolution_hours
+from fact group by created_date, coalesce(borough, 'UNSPECIFIED'), agency_code""")

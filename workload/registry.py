@@ -359,6 +359,12 @@ def map_stats(spark, d):
     return M.mapping_stats(_decisions(spark, d))
 
 
+@query
+def map_errors(spark, d):
+    """Systems that stop when no override is recorded."""
+    return M.mapping_errors(M.mapping_stats(M.resolve_headers(I.feed_headers(spark, d))))
+
+
 @query
 def map_rollup(spark, d):
     return M.mapping_rollup(M.mapping_stats(_decisions(spark, d)))
@@ -393,8 +399,9 @@ def map_missing_required(spark, d):
 
 @query
 def map_flatten(spark, d):
-    """Decisions gathered per system and flattened again."""
-    nested = _decisions(spark, d).groupBy("source_system").agg(F.collect_list(F.struct(
+    """Decisions gathered in blocks of eight columns and flattened again."""
+    block = F.floor(F.col("ordinal") / 8)
+    nested = _decisions(spark, d).groupBy("source_system", block).agg(F.collect_list(F.struct(
         "source_column", "canonical_field", "method", "confidence")).alias("decisions"))
     return M.flatten(nested)
 
