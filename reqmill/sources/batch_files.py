@@ -42,7 +42,10 @@ def write_batch(rows: DataFrame, root: str, day: dt.date | str,
          .select(*[F.coalesce(F.col(field), F.lit("")).alias(header)
                    for field, header in names.items()], *stamped)
          .write.mode("overwrite").option("header", True).option("escape", '"')
-         .option("emptyValue", "").csv(f"{day_dir(root, day)}/source_system={system}"))
+         .option("emptyValue", "")
+         # The writer trims values unless told not to.
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .csv(f"{day_dir(root, day)}/source_system={system}"))
     manifest = batch_manifest(rows, day, {
         system: len(names) + len(extras.get(system, ())) for system, names in headers.items()})
     manifest.write.mode("overwrite").json(f"{day_dir(root, day)}/_manifest")
