@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from reqmill.functions import headers as H
 from reqmill.functions.scalars import (CONFIDENCE_BUCKETS, confidence_bucket, ratio)
 from reqmill.schema import FIELD_NAMES, FIELDS, METHODS, REQUIRED_FIELDS
+from reqmill.session import ensure_checkpoint_dir
 
 # Acceptance floors.
 PROPOSAL_FLOOR = 0.70
@@ -205,8 +206,13 @@ def assign(claims: DataFrame) -> DataFrame:
 
 def resolve_headers(headers: DataFrame, overrides: DataFrame | None = None,
                     proposals: DataFrame | None = None) -> DataFrame:
-    """One decision per header."""
-    return assign(propose(headers, overrides, proposals))
+    """One decision per header.
+
+    Claims are checkpointed: assignment reads them twice, and would score every
+    header again each time.
+    """
+    ensure_checkpoint_dir(headers.sparkSession)
+    return assign(propose(headers, overrides, proposals).checkpoint())
 
 
 def missing_required(decisions: DataFrame) -> DataFrame:

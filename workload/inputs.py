@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqmill.session import apply_defaults, ship_package
+from reqmill.session import apply_defaults, shared_dir, ship_package
 from workload import dialects as D
 
 
@@ -96,6 +96,13 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
             .selectExpr(*[f"{sql} as {name}" for name, sql in LANDED.items()]))
 
 
+def stored_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed rows as a table, which is what a run builds its models from."""
+    path = f"{shared_dir(spark)}/landing"
+    landed(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 # Orders in the shape the source serves: all strings, source column names.
 SOURCE = {
     "unique_key": "lpad(cast(o_orderkey as string), 12, '0')",

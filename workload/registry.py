@@ -47,8 +47,8 @@ def _staged(spark, d):
     return models.stage(I.landed(spark, d))
 
 
-def _chain(spark, d):
-    raw = I.landed(spark, d)
+def _chain(spark, d, raw=None):
+    raw = I.landed(spark, d) if raw is None else raw
     staged = models.stage(raw)
     deduped = models.deduplicate(staged)
     fact = models.build_fact(deduped)
@@ -57,8 +57,8 @@ def _chain(spark, d):
 
 
 def _stored_chain(spark, d):
-    """The chain with the fact and the marts written, as a run leaves them."""
-    root, t = shared_dir(spark), _chain(spark, d)
+    """The chain with its tables written, as a run leaves them."""
+    root, t = shared_dir(spark), _chain(spark, d, I.stored_landing(spark, d))
     t["deduped"].write.parquet(f"{root}/deduped")
     deduped = spark.read.parquet(f"{root}/deduped")
     models.build_fact(deduped).write.parquet(f"{root}/fact")
@@ -118,7 +118,7 @@ def code_dim(spark, d):
 @query
 def incremental_fact(spark, d):
     """The fact after a first load of the batches before a date, then an update."""
-    staged = _staged(spark, d)
+    staged = models.stage(I.stored_landing(spark, d))
     fact = models.FactTable(spark, f"{shared_dir(spark)}/fact", period="year")
     fact.update(staged.where(F.col("batch_date") < F.lit(CUT)), "first")
     fact.update(staged, "second")
@@ -128,12 +128,13 @@ def incremental_fact(spark, d):
 @query
 def changed_requests(spark, d):
     """Rows an update takes up, with the keys filtered before ranking."""
-    return models.build_fact(models.changed_requests(_staged(spark, d), CUT))
+    staged = models.stage(I.stored_landing(spark, d))
+    return models.build_fact(models.changed_requests(staged, CUT))
 
 
 @query
 def upsert_by_key(spark, d):
-    staged = _staged(spark, d)
+    staged = models.stage(I.stored_landing(spark, d))
     fact = models.build_fact(models.deduplicate(staged.where(F.col("batch_date") < F.lit(CUT))))
     return merge_by_key(fact, models.build_fact(models.changed_requests(staged, CUT)), "request_id")
 
@@ -439,8 +440,8 @@ def override_listing(spark, d):
 
 # --- checks ---------------------------------------------------------------
 
-def _results(spark, d):
-    return Q.run_checks(Q.standard_checks(S.ntz(NOW)), _stored_chain(spark, d))
+def _results(spark, d, tables=None):
+    return Q.run_checks(Q.standard_checks(S.ntz(NOW)), tables or _stored_chain(spark, d))
 
 
 @query
@@ -467,7 +468,7 @@ def test_outcomes(spark, d):
 
 @query
 def stage_funnel(spark, d):
-    t = _chain(spark, d)
+    t = _stored_chain(spark, d)
     return Q.stage_funnel({
         "1_landed": t["raw"], "2_staged": t["staged"], "3_deduped": t["deduped"],
         "4_fact": t["fact"], "5_daily_mart": t["daily"], "5_agency_dim": t["dim"],
@@ -577,7 +578,8 @@ def type_mix(spark, d):
 
 @query
 def borough_mix(spark, d):
-    return serving.live_reports(_chain(spark, d)["fact"], _chain(spark, d)["dim"])["borough_mix"]
+    t = _chain(spark, d)
+    return serving.live_reports(t["fact"], t["dim"])["borough_mix"]
 
 
 @query
@@ -592,10 +594,10 @@ def headline(spark, d):
 
 @query
 def run_report(spark, d):
-    decisions, t = _decisions(spark, d), _chain(spark, d)
+    decisions, t = _decisions(spark, d), _stored_chain(spark, d)
     report = serving.run_report(
         str(DAY), "b1", Q.stage_funnel({"1_landed": t["raw"], "4_fact": t["fact"]}),
-        Q.summarize(_results(spark, d)), M.mapping_rollup(M.mapping_stats(decisions)),
+        Q.summarize(_results(spark, d, t)), M.mapping_rollup(M.mapping_stats(decisions)),
         M.confidence_histogram(decisions))
     return report.select(
         "batch_date", "batch_id", F.col("row_counts")[0]["rows"].alias("landed"),
