@@ -51,7 +51,7 @@ def local_session(app: str, cores: str = "*", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder that every executor can reach.
+    """A fresh folder that every executor can reach, deleted when the session ends.
 
     It lies under spark.checkpoint.dir. A machine-local folder is used only in
     local mode with that setting absent, as in tests.
@@ -61,7 +61,12 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="reqmill-")
-    return f"{root.rstrip('/')}/reqmill-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/reqmill-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
