@@ -8,12 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqmill.llm import byte_bpe
+from reqmill.llm import byte_bpe, packing, simhash
 from reqmill.llm.base import table
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and near-duplicate group."""
+    return simhash.groups(table(spark, sf_dir, "documents")).select(
+        "doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their place in a sequence of 2,048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE).drop("ids")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every text; digests of the ids and of the decoded bytes."""
     encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
@@ -24,6 +36,8 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_simhash": op5_simhash,
+    "op7_packing": op7_packing,
     "op8_byte_bpe": op8_byte_bpe,
 }
 ORACLES: dict[str, str] = {}
