@@ -8,13 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqmill.llm import byte_bpe, packing, simhash
-from reqmill.llm.base import table
+from reqmill.llm import byte_bpe, packing, simhash, toxicity
+from reqmill.llm.base import remainder, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned outside the held-out fifth of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), remainder(F.col("doc_id"), 5) != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and near-duplicate group."""
     return simhash.groups(table(spark, sf_dir, "documents")).select(
@@ -36,6 +45,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op5_simhash": op5_simhash,
     "op7_packing": op7_packing,
     "op8_byte_bpe": op8_byte_bpe,
