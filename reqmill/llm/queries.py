@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqmill.llm import byte_bpe, packing, simhash, toxicity
+from reqmill.llm import byte_bpe, packing, quality_rules, sharding, simhash, toxicity
+from reqmill.llm import oracles
 from reqmill.llm.base import remainder, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -24,12 +25,26 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's measurements, failed rules, and the verdict of the policy."""
+    recorded = quality_rules.ledger(table(spark, sf_dir, "documents"))
+    base, policy = quality_rules.Policy("base", 1, quality_rules.BASE), quality_rules.latest("prose")
+    return recorded.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~quality_rules.passes(base)).alias("base_failed"), quality_rules.passes(policy).alias("kept"), "failures")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and near-duplicate group."""
     return simhash.groups(table(spark, sf_dir, "documents")).select(
         "doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's slot and shard."""
+    return sharding.place(table(spark, sf_dir, "documents"), "doc_id", sharding.names())
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their place in a sequence of 2,048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE).drop("ids")
@@ -46,8 +61,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op4_quality_rules": op4_quality_rules,
     "op5_simhash": op5_simhash,
+    "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
     "op8_byte_bpe": op8_byte_bpe,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES
