@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqmill.llm import byte_bpe, packing, quality_rules, sharding, simhash, toxicity
+from reqmill.llm import byte_bpe, language, packing, quality_model, quality_rules, sharding, simhash, toxicity
 from reqmill.llm import oracles
-from reqmill.llm.base import remainder, table
+from reqmill.llm.base import remainder, stored, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -25,6 +25,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned outside the held-out fifth of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    net = language.train(docs, remainder(F.col("doc_id"), 5) != 0)
+    return language.predict(docs, net).select(
+        "doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's measurements, failed rules, and the verdict of the policy."""
     recorded = quality_rules.ledger(table(spark, sf_dir, "documents"))
@@ -59,12 +67,23 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learned outside the held-out quarter of the ids."""
+    stats = stored(quality_model.measured(table(spark, sf_dir, "documents")), "statistics")
+    learn = remainder(F.col("doc_id"), 4) != 2
+    model = quality_model.fit(stored(quality_model.labelled(stats, table(spark, sf_dir, "labels"), learn), "training"))
+    return quality_model.score(stats, model).select(
+        "doc_id", (~learn).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op3_language": op3_language,
     "op4_quality_rules": op4_quality_rules,
     "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_quality_model": op9_quality_model,
 }
 ORACLES: dict[str, str] = oracles.ORACLES
