@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqmill.llm import byte_bpe, language, packing, quality_model, quality_rules, sharding, simhash, toxicity
+from reqmill.llm import byte_bpe, language, nearest, packing, quality_model, quality_rules, sharding, simhash, toxicity
 from reqmill.llm import oracles
 from reqmill.llm.base import remainder, stored, table
 
@@ -76,6 +76,11 @@ def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (~learn).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest found of every hundredth vector, against all vectors."""
+    return nearest.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_language": op3_language,
@@ -85,5 +90,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_model": op9_quality_model,
+    "op10_nearest": op10_nearest,
 }
 ORACLES: dict[str, str] = oracles.ORACLES

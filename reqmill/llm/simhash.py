@@ -55,11 +55,11 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row, fp as a long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The kept columns and fp, a long, of every row."""
     def make():
         return lambda texts: {"fp": pa.array([fingerprint(x, shingle) for x in texts], pa.int64())}
-    return map_texts(docs, make, "fp long", keep=("doc_id",))
+    return map_texts(docs, make, "fp long", keep=keep)
 
 
 def masks(radius: int = RADIUS) -> list[int]:
@@ -89,15 +89,36 @@ def links(prints: DataFrame) -> DataFrame:
     return (met.select(F.explode("fps").alias("a"), F.array_min("fps").alias("b")).where("a != b").distinct())
 
 
-def groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp, component_id) of every row."""
-    prints = stored(fingerprints(docs, shingle), "fingerprints")
+def groups(docs: DataFrame, shingle: int = SHINGLE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The kept columns, fp, root (a fingerprint that names the group) and component_id
+    (its smallest doc_id) of every row."""
+    prints = stored(fingerprints(docs, shingle, keep), "fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
     roots = components(links(nodes.select("fp")))
     labelled = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    classes = labelled.join(least, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(labelled.join(least, "root").select("fp", "root", "component_id"), "fp")
+
+
+def representatives(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """One row of each group, with all its columns: one with the smallest doc_id, and
+    among rows that repeat that id one with the smallest hash of its text."""
+    key = F.xxhash64("text")
+    grouped = groups(docs.select("doc_id", "text", key.alias("_key")), shingle, ("doc_id", "_key"))
+    chosen = stored(grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+                    .groupBy("root", "doc_id", "_key").agg(F.count("*").alias("_n"))
+                    .groupBy("root").agg(F.min(F.struct("_key", "doc_id", "_n")).alias("_c")).select("_c.*"), "chosen")
+
+    def rows_of(some: DataFrame) -> DataFrame:
+        some = some.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_hash"))
+        return docs.join(some, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_hash")), "left_semi")
+
+    # Only rows that are the same in id and text are left to fold, if there are any.
+    repeated = chosen.where("_n > 1")
+    if repeated.isEmpty():
+        return rows_of(chosen)
+    once = rows_of(repeated).withColumn("_key", key).dropDuplicates(["doc_id", "_key"]).drop("_key")
+    return rows_of(chosen.where("_n = 1")).unionByName(once)
 
 
 def hexadecimal(fp: Column) -> Column:
