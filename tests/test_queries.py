@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+from workload.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,9 +15,9 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_matches_sql(spark, con, name):
     assert compare.differences(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) == []
