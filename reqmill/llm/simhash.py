@@ -110,14 +110,15 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                     .groupBy("root").agg(F.min(F.struct("_key", "doc_id", "_n")).alias("_c")).select("_c.*"), "chosen")
 
     def rows_of(some: DataFrame) -> DataFrame:
-        some = some.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_hash"))
-        return docs.join(some, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_hash")), "left_semi")
+        return docs.alias("d").join(
+            some.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.xxhash64("d.text") == F.col("c._key")), "left_semi")
 
     # Only rows that are the same in id and text are left to fold, if there are any.
     repeated = chosen.where("_n > 1")
     if repeated.isEmpty():
         return rows_of(chosen)
-    once = rows_of(repeated).withColumn("_key", key).dropDuplicates(["doc_id", "_key"]).drop("_key")
+    once = (rows_of(repeated).select(F.struct(*docs.columns).alias("doc"), "doc_id", key.alias("_key"))
+            .dropDuplicates(["doc_id", "_key"]).select("doc.*"))
     return rows_of(chosen.where("_n = 1")).unionByName(once)
 
 
