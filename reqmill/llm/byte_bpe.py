@@ -3,7 +3,8 @@
 A text is cut into chunks that overlap. Each chunk is split into pre-tokens on its
 own, wherever it runs. Where two neighbours agree on a boundary inside their overlap
 they are stitched: a match of the pattern depends only on where it starts and on what
-follows, so from a common boundary on both splits are the same. The pieces between
+follows, so from a common boundary on both splits are the same. Boundaries too close to
+a chunk's end to have seen what follows don't count. The pieces between
 two stitches are then encoded apart from each other. Decoding concatenates the bytes
 of the ids.
 
@@ -15,17 +16,21 @@ from __future__ import annotations
 
 import base64
 import functools
+import itertools
 import re
+from array import array
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reqmill.llm.base import map_texts, stored
 
-CHUNK = 16_384  # code points that a chunk owns
+CHUNK = 32_768  # code points that a chunk owns
 OVERLAP = 512  # code points that it shares with the next one
+AHEAD = 8  # code points that must be seen after a boundary; the pattern looks at 2
 MEMO = 200_000  # pre-tokens whose ids a Python worker remembers
 
 # Letters, digits and white space below U+0100.
@@ -35,8 +40,8 @@ LATIN_S = "\\t-\\r \x85\xa0"
 
 
 @functools.lru_cache(maxsize=4)
-def splitter(pattern: str) -> Callable[[str], Iterator]:
-    """Matches of the pattern in a text.
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """The pre-tokens of a text: the pattern's matches, which leave nothing out.
 
     Most texts stay below U+0100, where the character classes are spelled out for
     the standard library, whose matcher is faster on them.
@@ -48,11 +53,11 @@ def splitter(pattern: str) -> Callable[[str], Iterator]:
     for name, members in ((r"\p{L}", LATIN_L), (r"\p{N}", LATIN_N), (r"\S", f"^{LATIN_S}"), (r"\s", LATIN_S)):
         latin = latin.replace(name, f"[{members}]")
     if r"\p" in latin:
-        return general.finditer
+        return general.findall
     quick = re.compile(latin)
 
-    def matches(text: str) -> Iterator:
-        return (quick if text.isascii() or max(text) < "Ā" else general).finditer(text)
+    def matches(text: str) -> list[str]:
+        return (quick if text.isascii() or max(text) < "Ā" else general).findall(text)
 
     return matches
 
@@ -64,53 +69,53 @@ def ranks(path: str) -> dict[bytes, int]:
 
 
 class Memo(dict):
-    """Pre-token to its ids; emptied when full."""
+    """Pre-token to its ids as little-endian bytes; emptied when full."""
 
-    def __init__(self, encode: Callable[[str], list[int]]):
+    def __init__(self, encode: Callable[[bytes], list[int]]):
         super().__init__()
         self.encode = encode
 
-    def __missing__(self, token: str) -> list[int]:
+    def __missing__(self, token: str) -> bytes:
         if len(self) >= MEMO:
             self.clear()
-        ids = self.encode(token)
+        ids = array("I", self.encode(token.encode())).tobytes()
         if len(token) < 64:
             self[token] = ids
         return ids
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _memo(path: str, pattern: str) -> Memo:
     """One per Python worker. The library merges one pre-token at a time."""
     import tiktoken
 
     merges = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks(path), special_tokens={})
-    return Memo(lambda token: merges._core_bpe.encode_single_piece(token.encode()))
+    return Memo(merges._core_bpe.encode_single_piece)
 
 
 def _encoder(path: str, pattern: str) -> Callable[[], Callable[[list], dict]]:
     def make() -> Callable[[list], dict]:
         memo, split = _memo(path, pattern), splitter(pattern)
 
-        def encode(text: bytes | None) -> list[int]:
-            ids: list[int] = []
-            for match in split((text or b"").decode()):
-                ids += memo[match[0]]
-            return ids
-
-        return lambda texts: {"ids": pa.array([encode(x) for x in texts], pa.list_(pa.int32()))}
+        def work(texts: list) -> dict:
+            raw = [b"".join(map(memo.__getitem__, split((x or b"").decode()))) for x in texts]
+            ends = np.cumsum([0, *(len(x) // 4 for x in raw)])
+            ids = pa.array(np.frombuffer(b"".join(raw), "<i4"))
+            return {"ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)}
+        return work
     return make
 
 
 def _cut(chunk: int, overlap: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, text in zip(batch.column("_doc").to_pylist(), batch.column("text").to_pylist()):
+            for key, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("_doc", "doc_id", "text"))):
                 starts = range(0, len(text), chunk)
                 for at in range(0, len(starts), 64):  # a long text leaves in several batches
                     some = starts[at:at + 64]
                     yield pa.RecordBatch.from_pydict({
                         "_doc": pa.array([key] * len(some), pa.int64()),
+                        "doc_id": pa.array([doc_id] * len(some), batch.schema.field("doc_id").type),
                         "_k": pa.array([s // chunk for s in some], pa.int64()),
                         "text": [text[s:s + chunk + overlap] for s in some]})
     return run
@@ -126,9 +131,9 @@ def _bounds(pattern: str, chunk: int) -> Callable[[], Callable[[list], dict]]:
             before, after = [], []
             for raw in texts:
                 text = raw.decode()
-                starts = [m.start() for m in split(text)]
+                starts = list(itertools.accumulate(map(len, split(text)), initial=0))[:-1]
                 before.append(starts)
-                after.append([s - chunk for s in starts if s >= chunk])
+                after.append([s - chunk for s in starts if chunk <= s <= len(text) - AHEAD])
             return {"_before": pa.array(before, pa.list_(pa.int32())), "_after": pa.array(after, pa.list_(pa.int32()))}
         return work
     return make
@@ -140,13 +145,13 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap
     encoder = _encoder(path, pattern)
     short = map_texts(docs.where(F.length("text") <= chunk), encoder, "ids array<int>", keep=("doc_id",))
 
-    # _doc tells apart rows that repeat a doc_id; what it reads is stored first, so
-    # that a task which runs again numbers the same rows alike.
+    # _doc tells apart rows that repeat a doc_id. The chunks are stored as soon as it
+    # is given, so that all that follows sees the same numbers.
     long = docs.where(F.length("text") > chunk).withColumn("_doc", F.monotonically_increasing_id())
-    long = stored(long, "long_texts")
-    chunks = (long.select("_doc", "text").mapInArrow(_cut(chunk, overlap), "_doc long, _k long, text string")
-              .repartition("_doc", "_k"))
-    chunks = stored(chunks, "chunks")
+    kind = docs.select("doc_id").schema[0].simpleString().replace(":", " ", 1)
+    chunks = stored(long.select("_doc", "doc_id", "text")
+                    .mapInArrow(_cut(chunk, overlap), f"_doc long, {kind}, _k long, text string")
+                    .repartition("_doc", "_k"), "chunks")
     bounds = map_texts(chunks, _bounds(pattern, chunk), "_before array<int>, _after array<int>", keep=("_doc", "_k"))
     bounds = stored(bounds.withColumn("_before", F.filter("_before", lambda s: s < overlap)), "bounds")
     # The cut into chunk k: the first boundary that its split and the one before share.
@@ -162,12 +167,11 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap
     end = F.when(~F.col("_more"), F.length("text")).when(F.col("_next").isNull(), chunk).otherwise(chunk + F.col("_next"))
     begin = F.coalesce("_cut", F.lit(0))
     pieces = (chunks.join(cuts, ["_doc", "_k"])
-              .select("_doc", "_piece", F.struct("_k", F.substring("text", begin + 1, end - begin).alias("text")).alias("_part"))
-              .groupBy("_doc", "_piece").agg(F.sort_array(F.collect_list("_part")).alias("_parts"))
-              .select("_doc", "_piece", F.array_join(F.col("_parts.text"), "").alias("text")))
-    done = (map_texts(pieces, encoder, "ids array<int>", keep=("_doc", "_piece"))
-            .groupBy("_doc").agg(F.sort_array(F.collect_list(F.struct("_piece", "ids"))).alias("_parts"))
-            .join(long.select("_doc", "doc_id"), "_doc")
+              .select("_doc", "doc_id", "_piece", F.struct("_k", F.substring("text", begin + 1, end - begin).alias("text")).alias("_part"))
+              .groupBy("_doc", "doc_id", "_piece").agg(F.sort_array(F.collect_list("_part")).alias("_parts"))
+              .select("_doc", "doc_id", "_piece", F.array_join(F.col("_parts.text"), "").alias("text")))
+    done = (map_texts(pieces, encoder, "ids array<int>", keep=("_doc", "doc_id", "_piece"))
+            .groupBy("_doc", "doc_id").agg(F.sort_array(F.collect_list(F.struct("_piece", "ids"))).alias("_parts"))
             .select("doc_id", F.flatten("_parts.ids").alias("ids")))
     return short.unionByName(done)
 
