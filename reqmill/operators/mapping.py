@@ -47,13 +47,19 @@ def exact_dictionary(spark: SparkSession) -> DataFrame:
             .agg(F.min_by("exact_field", F.struct("kind", "position")).alias("exact_field")))
 
 
+def invalid_overrides(overrides: DataFrame) -> DataFrame:
+    """Overrides that target an unknown field; a null target is allowed."""
+    return overrides.where(F.col("canonical_field").isNotNull() & ~F.col("canonical_field").isin(FIELD_NAMES))
+
+
 def validate_overrides(overrides: DataFrame) -> DataFrame:
-    """Raise if an override targets an unknown field; a null target is allowed."""
-    bad = overrides.where(F.col("canonical_field").isNotNull()
-                          & ~F.col("canonical_field").isin(FIELD_NAMES)).take(1)
-    if bad:
-        raise MappingError(f"override {bad[0].source_system}.{bad[0].source_column} targets "
-                           f"unknown canonical field '{bad[0].canonical_field}'")
+    """Raise if there are invalid_overrides(), with their number and the first of them."""
+    bad = invalid_overrides(overrides)
+    order = ["source_system", "source_column", "canonical_field"]
+    first = bad.orderBy(*order).select(*order).take(1)
+    if first:
+        raise MappingError(f"{bad.count()} override(s) with an unknown canonical field, the first "
+                           f"{first[0].source_system}.{first[0].source_column} -> '{first[0].canonical_field}'")
     return overrides
 
 
@@ -83,10 +89,13 @@ def fuzzy_candidates(headers: DataFrame, column: str = "source_column", top_n: i
 
 
 def _with_overrides(h: DataFrame, overrides: DataFrame | None) -> DataFrame:
+    """Join overrides; of repeated ones the last (highest `ordinal`, then field) counts."""
     if overrides is None:
         return h.withColumns({"ov_hit": F.lit(False), "ov_field": F.lit(None).cast("string")})
-    known = overrides.select("source_system", "source_column",
-                             F.col("canonical_field").alias("ov_field"), F.lit(True).alias("ov_hit"))
+    last = F.struct(F.col("ordinal") if "ordinal" in overrides.columns else F.lit(0),
+                    F.col("canonical_field").alias("field"))
+    known = overrides.groupBy("source_system", "source_column").agg(F.max(last)["field"].alias("ov_field")).withColumn(
+        "ov_hit", F.lit(True))
     return h.join(known, ["source_system", "source_column"], "left").withColumn(
         "ov_hit", F.coalesce("ov_hit", F.lit(False)))
 
@@ -102,7 +111,7 @@ def _with_proposals(h: DataFrame, proposals: DataFrame | None) -> DataFrame:
     value = F.struct(
         F.col("canonical_field").alias("field"),
         F.round(F.coalesce(F.col("confidence").cast("double"), F.lit(0.0)), 4).alias("confidence"),
-        F.coalesce(F.substring("reasoning", 1, 300), F.lit("")).alias("reasoning"))
+        F.coalesce("reasoning", F.lit("")).alias("reasoning"))
     last = (proposals.groupBy("source_system", "source_column")
             .agg(F.max(F.struct("ordinal", value.alias("v")))["v"].alias("p")))
     joined = h.join(last, ["source_system", "source_column"], "left")
@@ -123,11 +132,13 @@ def propose(headers: DataFrame, overrides: DataFrame | None = None,
     h = _with_proposals(_with_overrides(exact_match(h), overrides), proposals)
     decided = (F.col("ov_hit") | F.col("exact_field").isNotNull()
                | F.coalesce(F.col("proposal_outcome").isin("accepted", "declined"), F.lit(False)))
-    # Resolved headers hand the scorer a null, which it passes over.
-    phrase, field, score = fuzzy_match(
-        F.when(~decided, F.translate("norm", "_", " ")))
-    h = h.withColumns({"fz_phrase": phrase, "fz_field": field,
-                       "fz_score": F.coalesce(score, F.lit(0.0))})
+    # Only what no other tier decides is scored, and every distinct text once, however
+    # many systems use it.
+    h = h.withColumn("_probe", F.when(~decided, F.translate("norm", "_", " ")))
+    phrase, field, score = fuzzy_match(F.col("_probe"))
+    scored = h.where(F.col("_probe").isNotNull()).select("_probe").distinct().select(
+        "_probe", phrase.alias("fz_phrase"), field.alias("fz_field"), score.alias("fz_score"))
+    h = h.join(scored, "_probe", "left").withColumn("fz_score", F.coalesce("fz_score", F.lit(0.0)))
     method = (F.when(F.col("ov_hit"), "override")
               .when(F.col("exact_field").isNotNull(), "exact")
               .when(decided, "llm")
@@ -135,19 +146,19 @@ def propose(headers: DataFrame, overrides: DataFrame | None = None,
               .otherwise("unmapped"))
     h = h.withColumn("method", method)
     by_method = {
-        "override": ("ov_field", F.lit(1.0), F.lit("mapping recorded by a person")),
+        "override": ("ov_field", F.lit(1.0), F.lit("recorded override")),
         "exact": ("exact_field", F.lit(1.0),
-                  F.format_string("normalized '%s' matches canonical '%s'", "norm", "exact_field")),
+                  F.format_string("'%s' is a name of %s", "norm", "exact_field")),
         "llm": ("p.field", F.col("p.confidence"),
                 F.when((F.col("p.reasoning") == "") & F.col("p.field").isNull(),
                        "proposal names no field").otherwise(F.col("p.reasoning"))),
         "fuzzy": ("fz_field", F.col("fz_score"),
-                  F.format_string("fuzzy match on '%s' (score %.2f)", "fz_phrase", "fz_score")),
+                  F.format_string("close to '%s', at %.2f", "fz_phrase", "fz_score")),
     }
     # Headers no tier commits to keep the score of the best candidate.
     canonical, confidence = F.lit(None).cast("string"), F.col("fz_score")
-    why = F.when(F.col("fz_phrase").isNull(), "no fuzzy candidates").otherwise(F.format_string(
-        f"best candidate '%s' (%s) scored %.2f < threshold {fuzzy_floor:.2f}",
+    why = F.when(F.col("fz_phrase").isNull(), "nothing to compare").otherwise(F.format_string(
+        f"closest is '%s' of %s, at %.2f of the {fuzzy_floor:.2f} needed",
         "fz_phrase", "fz_field", "fz_score"))
     tier = F.lit(_TIER["fuzzy"])
     for name, (target, conf, reason) in by_method.items():
@@ -191,10 +202,10 @@ def assign(claims: DataFrame) -> DataFrame:
     lost = refused | F.col("next").isNotNull()
     reason = (
         F.when(refused, F.format_string(
-            "%s already claimed by '%s' at higher confidence (%.2f)",
+            "%s is held by '%s', at %.2f",
             "canonical_field", "holder.source_column", "holder.confidence"))
         .when(F.col("next").isNotNull(), F.format_string(
-            "%s reassigned to '%s' at higher confidence (%.2f)",
+            "%s went to '%s', at %.2f",
             "canonical_field", "next.source_column", "next.confidence"))
         .otherwise(F.col("reasoning")))
     return held.select(
@@ -226,11 +237,16 @@ def missing_required(decisions: DataFrame) -> DataFrame:
 
 
 def require_fields(decisions: DataFrame) -> DataFrame:
+    """Raise if there are missing_required() fields: the number of systems in full, the
+    fields of the first few by name."""
     gaps = (missing_required(decisions).groupBy("source_system")
-            .agg(F.sort_array(F.collect_list("canonical_field")).alias("fields")).take(5))
-    if gaps:
-        text = "; ".join(f"[{g.source_system}] {g.fields}" for g in gaps)
-        raise MappingError(f"required canonical fields left unmapped: {text}")
+            .agg(F.sort_array(F.collect_list("canonical_field")).alias("fields")))
+    shown = gaps.orderBy("source_system").take(5)
+    if shown:
+        n = gaps.count()
+        text = "; ".join(f"[{g.source_system}] {g.fields}" for g in shown)
+        more = f"; {n - len(shown)} more, see missing_required()" if n > len(shown) else ""
+        raise MappingError(f"required canonical fields left unmapped in {n} system(s): {text}{more}")
     return decisions
 
 
@@ -315,9 +331,13 @@ def accuracy(decisions: DataFrame, truth: DataFrame) -> DataFrame:
     """Decisions against the known field of every header, per system and in total.
 
     truth(source_system, source_column, expected); a null `expected` marks an
-    operational column that no field should take.
+    operational column that no field should take. A header that is repeated in a
+    system counts once, by its first decision.
     """
-    both = truth.join(decisions, ["source_system", "source_column"], "left")
+    key = ["source_system", "source_column"]
+    first = decisions.groupBy(*key).agg(F.min_by(F.struct("canonical_field", "method"), "ordinal").alias("d"))
+    both = (truth.groupBy(*key).agg(F.max("expected").alias("expected"))
+            .join(first, key, "left").select(*key, "expected", "d.*"))
     want, got = F.col("expected"), F.col("canonical_field")
     per_system = both.groupBy("source_system").agg(
         _count(F.lit(True)).alias("columns"), _count(want.isNotNull()).alias("should_map"),

@@ -19,18 +19,14 @@ def _day_start(df: DataFrame, ts: str, day: dt.date) -> Column:
     return F.lit(day).cast(dtype)
 
 
-def day_slice(df: DataFrame, ts: str, day: dt.date, columns: Sequence[str],
-              key: str | None = None, row_limit: int | None = None) -> DataFrame:
-    """Rows of one day; with a limit, the first rows by key.
+def day_slice(df: DataFrame, ts: str, day: dt.date, columns: Sequence[str]) -> DataFrame:
+    """All rows of one day.
 
     The bounds are literals of the column's own type, so they reach the scan.
     """
     rows = df.where((F.col(ts) >= _day_start(df, ts, day))
                     & (F.col(ts) < _day_start(df, ts, day + dt.timedelta(days=1))))
-    rows = rows.select(*columns)
-    if row_limit is not None:
-        rows = rows.orderBy(F.col(key).asc_nulls_last()).limit(row_limit)
-    return rows
+    return rows.select(*columns)
 
 
 def newest(df: DataFrame, ts: str, n: int, tie_break: str) -> DataFrame:
@@ -44,8 +40,9 @@ def batch_bounds(df: DataFrame, ts: str) -> DataFrame:
     return df.agg(F.max(ts).alias("newest_created_at"), F.min(ts).alias("oldest_created_at"))
 
 
-def ordered_index(df: DataFrame, order: Sequence[str], name: str = "row_index") -> DataFrame:
-    """Add the 0-based position of every row in the order given.
+def ordered_index(df: DataFrame, order: Sequence[str | Column], name: str = "row_index") -> DataFrame:
+    """Add the 0-based position of every row in the order given: names sort upwards
+    with nulls last, columns as they say themselves.
 
     Range partitions are sorted in parallel; a row's position is its place in the
     partition plus the sizes of the partitions before. The sorted rows are
@@ -53,7 +50,7 @@ def ordered_index(df: DataFrame, order: Sequence[str], name: str = "row_index")
     executor is lost between the two reads.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    keys = [F.col(c).asc_nulls_last() for c in order]
+    keys = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
     in_partition = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     placed = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
               .withColumn("_part", F.spark_partition_id())
@@ -68,7 +65,7 @@ def ordered_index(df: DataFrame, order: Sequence[str], name: str = "row_index")
             .drop("_part", "_place", "_start"))
 
 
-def round_robin(df: DataFrame, order: Sequence[str], names: Sequence[str]) -> DataFrame:
+def round_robin(df: DataFrame, order: Sequence[str | Column], names: Sequence[str]) -> DataFrame:
     """Deal the ordered rows out to named shards in turn."""
     indexed = ordered_index(df, order)
     shard = F.element_at(F.array(*[F.lit(n) for n in names]),

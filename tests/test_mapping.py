@@ -55,10 +55,9 @@ def test_published_totals(golden):
 
 def test_losing_a_field_says_to_whom(golden):
     lost = golden.where("source_column = 'assignedAgencyLabel'").first()
-    assert lost.reasoning == ("agency_code already claimed by 'assignedAgencyCode' "
-                              "at higher confidence (0.90)")
+    assert lost.reasoning == "agency_code is held by 'assignedAgencyCode', at 0.90"
     low = golden.where("source_column = 'ROW_CHECKSUM'").first()
-    assert "threshold" in low.reasoning
+    assert "of the 0.82 needed" in low.reasoning
 
 
 def test_column_map_holds_each_field_once(golden):
@@ -81,7 +80,7 @@ def test_proposals(spark):
             ("CITY_NM", "no_such_field", 0.99, "sure"),
             ("ROW_CHECKSUM", None, 0.97, "audit column")])))
     assert (got["INTK_SRC"].canonical_field, got["INTK_SRC"].method) == ("intake_channel", "llm")
-    assert got["INTK_SRC"].reasoning == "r" * 300
+    assert got["INTK_SRC"].reasoning == "r" * 400
     assert (got["ZIP_CD"].canonical_field, got["ZIP_CD"].method) == ("postal_code", "fuzzy")
     assert (got["CITY_NM"].canonical_field, got["CITY_NM"].method) == ("city", "fuzzy")
     assert (got["ROW_CHECKSUM"].canonical_field, got["ROW_CHECKSUM"].method) == (None, "llm")
@@ -94,7 +93,28 @@ def test_collision_goes_to_the_higher_confidence(spark):
         proposals=proposals(spark, [("col_a", "borough", 0.80, "a"), ("col_b", "borough", 0.95, "b")])))
     assert got["col_b"].canonical_field == "borough"
     assert got["col_a"].canonical_field is None and got["col_a"].method == "unmapped"
-    assert got["col_a"].reasoning == "borough reassigned to 'col_b' at higher confidence (0.95)"
+    assert got["col_a"].reasoning == "borough went to 'col_b', at 0.95"
+
+
+def test_of_repeated_overrides_the_last_counts(spark):
+    overrides = spark.createDataFrame(
+        [("t", "Kind", "complaint_type", 0), ("t", "Kind", "descriptor", 1)],
+        "source_system string, source_column string, canonical_field string, ordinal int")
+    got = M.resolve_headers(headers(spark, ["Kind"]), overrides).collect()
+    assert [(r.canonical_field, r.method) for r in got] == [("descriptor", "override")]
+    both = spark.createDataFrame([("t", "Kind", "descriptor")] * 2, "source_system string, source_column string, expected string")
+    total = M.accuracy(M.resolve_headers(headers(spark, ["Kind"]), overrides), both).where("source_system = 'TOTAL'").first()
+    assert (total["columns"], total.correct) == (1, 1)
+
+
+def test_findings_name_how_many_there_are(spark):
+    gaps = spark.createDataFrame([(f"s{i}", 0, "x") for i in range(6)], "source_system string, ordinal int, source_column string")
+    with pytest.raises(M.MappingError, match="in 6 system.*1 more"):
+        M.require_fields(M.resolve_headers(gaps))
+    bad = spark.createDataFrame([("s", f"c{i}", "nowhere") for i in range(3)], "source_system string, source_column string, canonical_field string")
+    assert M.invalid_overrides(bad).count() == 3
+    with pytest.raises(M.MappingError, match="^3 override"):
+        M.validate_overrides(bad)
 
 
 def test_override_beats_a_proposal(spark):
@@ -131,10 +151,10 @@ def _one_by_one(claims):
     for system, field, conf, tier, ordinal, column in sorted(claims, key=lambda c: c[3:5]):
         key, held = (system, field), holder.get((system, field)) if field else None
         if held and conf <= held[0]:
-            out[system, ordinal] = (None, f"{field} already claimed by '{held[1]}' at higher confidence ({held[0]:.2f})")
+            out[system, ordinal] = (None, f"{field} is held by '{held[1]}', at {held[0]:.2f}")
             continue
         if held:
-            out[system, held[2]] = (None, f"{field} reassigned to '{column}' at higher confidence ({conf:.2f})")
+            out[system, held[2]] = (None, f"{field} went to '{column}', at {conf:.2f}")
         out[system, ordinal] = (field, "own")
         if field:
             holder[key] = (conf, column, ordinal)
