@@ -14,6 +14,7 @@ from reqmill.operators import checks as Q
 from reqmill.operators import mapping as M
 from reqmill.operators.landing import apply_mapping, union_systems
 from reqmill.plans import models, serving
+from reqmill.session import ensure_checkpoint_dir
 from reqmill.sources import batch_files as files
 from reqmill.sources import slices, tables
 
@@ -25,6 +26,7 @@ class Layout:
 
     def __getattr__(self, name: str) -> str:
         places = {"raw_files": "files", "landing": "raw/service_requests_raw",
+                  "requests": "staging/requests",
                   "fact": "analytics/fct_service_requests", "daily": "analytics/agg_daily_borough_sla",
                   "agencies": "analytics/dim_agency", "decision_log": "reports/mapping_decisions",
                   "reports": "reports"}
@@ -44,14 +46,13 @@ class Dialects:
 
 
 def extract_day(source: DataFrame, names: Mapping[str, str], day: dt.date, dialects: Dialects,
-                layout: Layout, row_limit: int | None = None) -> DataFrame:
+                layout: Layout) -> DataFrame:
     """One day of the source as a file set per system; returns the manifest.
 
     `names` gives source column -> canonical field.
     """
-    key = next(c for c, f in names.items() if f == "request_id")
     stamp = next(c for c, f in names.items() if f == "created_at")
-    rows = slices.day_slice(source, stamp, day, list(names), key, row_limit)
+    rows = slices.day_slice(source, stamp, day, list(names))
     renamed = rows.select(*[F.col(c).cast("string").alias(f) for c, f in names.items()])
     dealt = slices.round_robin(renamed, ["request_id"], list(dialects.headers))
     files.require_rows(dealt, str(day))
@@ -83,35 +84,43 @@ def ingest_day(spark: SparkSession, day: dt.date, batch_id: str, dialects: Diale
     return tables.replace_batch(landed, layout.landing, str(day)), decisions
 
 
-def build_models(spark: SparkSession, layout: Layout, run: str,
-                 reprocess_from: dt.date | None = None) -> dict[str, DataFrame]:
-    """Bring the fact up to date and rewrite the two marts."""
+def build_models(spark: SparkSession, layout: Layout, reprocess_from: dt.date | None = None) -> dict[str, DataFrame]:
+    """Bring the fact up to date and rewrite the two marts.
+
+    The deduplicated requests are written once; the dimension and the funnel read them.
+    """
     raw = tables.read_landing(spark, layout.landing)
     staged = models.stage(raw)
     fact = models.FactTable(spark, layout.fact)
-    fact.update(staged, run, reprocess_from)
-    models.agency_dimension(models.deduplicate(staged)).write.mode("overwrite").parquet(layout.agencies)
+    fact.update(staged, reprocess_from)
+    models.deduplicate(staged).write.mode("overwrite").parquet(layout.requests)
+    deduped = spark.read.parquet(layout.requests)
+    models.agency_dimension(deduped).write.mode("overwrite").parquet(layout.agencies)
     models.daily_sla(fact.read()).write.mode("overwrite").parquet(layout.daily)
-    return {"raw": raw, "staged": staged, "fact": fact.read(),
+    return {"raw": raw, "staged": staged, "deduped": deduped, "fact": fact.read(),
             "dim": spark.read.parquet(layout.agencies), "daily": spark.read.parquet(layout.daily)}
 
 
 def run_batch(spark: SparkSession, source: DataFrame, names: Mapping[str, str], day: dt.date,
               dialects: Dialects, layout: Layout, batch_id: str | None = None,
-              now: str | None = None, row_limit: int | None = None,
-              enforce: bool = True) -> DataFrame:
-    """One batch date end to end; returns the stored report."""
+              now: str | None = None, enforce: bool = True,
+              reprocess_from: dt.date | None = None) -> DataFrame:
+    """One batch date end to end; returns the stored report.
+
+    A batch older than the fact's mark lands but doesn't reach the fact, unless
+    `reprocess_from` names its date or an older one.
+    """
     batch_id = batch_id or f"local-{day}-{utc_now():%H%M%S}"
-    extract_day(source, names, day, dialects, layout, row_limit)
+    extract_day(source, names, day, dialects, layout)
     _, decisions = ingest_day(spark, day, batch_id, dialects, layout)
-    built = build_models(spark, layout, batch_id)
+    built = build_models(spark, layout, reprocess_from)
     results = Q.run_checks(Q.standard_checks(ntz(now or utc_now())), built)
     path = f"{layout.reports}/checks/{day}"
     results.write.mode("overwrite").parquet(path)
     summary = Q.summarize(spark.read.parquet(path))
     funnel = Q.stage_funnel({
         "1_landed": built["raw"], "2_staged": built["staged"],
-        "3_deduped": models.deduplicate(built["staged"]), "4_fact": built["fact"],
+        "3_deduped": built["deduped"], "4_fact": built["fact"],
         "5_daily_mart": built["daily"], "5_agency_dim": built["dim"]})
     report = serving.run_report(
         str(day), batch_id, funnel, summary, M.mapping_rollup(M.mapping_stats(decisions)),
@@ -159,9 +168,11 @@ def live_run(source: DataFrame, names: Mapping[str, str], limit: int, dialects:
         result.oldest_created_at = str(bounds.oldest_created_at or "")
         renamed = rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f)
                                 for c, f in names.items()])
-        dealt = slices.round_robin(
-            renamed.withColumn("_newest", F.struct(F.col("created_at") == "", F.col("request_id"))),
-            ["_newest"], list(dialects.headers)).drop("_newest")
+        # Newest first, undated rows last, as they were fetched. The dealt rows are read
+        # by everything below, so they are kept.
+        order = [F.nullif(F.col("created_at"), F.lit("")).desc_nulls_last(), F.col("request_id").asc()]
+        ensure_checkpoint_dir(spark)
+        dealt = slices.round_robin(renamed, order, list(dialects.headers)).checkpoint()
         result.rows_fetched = dealt.count()
         files.require_rows(dealt, "the live run")
         headers = spark.createDataFrame(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,7 +12,6 @@ from pyspark.sql import types as T
 from reqmill.functions.scalars import (approx_median, code, hours_between, ratio, round_half, text,
                                        to_double, to_timestamp, upper_text)
 from reqmill.schema import FACT_COLUMNS
-from reqmill.sources.tables import read_or_none
 
 FIRST_DATE = dt.date(1900, 1, 1)
 
@@ -162,13 +162,6 @@ def daily_sla_approx(fact: DataFrame) -> DataFrame:
 
 # --- incremental fact -----------------------------------------------------
 
-def high_water_mark(fact: DataFrame | None) -> dt.date:
-    """Newest batch date in the fact."""
-    if fact is None:
-        return FIRST_DATE
-    return fact.agg(F.max("batch_date").alias("mark")).first().mark or FIRST_DATE
-
-
 def changed_requests(staged: DataFrame, since: dt.date) -> DataFrame:
     """Deduplicated requests whose winning row is of batch `since` or later.
 
@@ -181,76 +174,126 @@ def changed_requests(staged: DataFrame, since: dt.date) -> DataFrame:
 
 
 class FactTable:
-    """The fact as Parquet, partitioned by period of creation, updated in place.
+    """The fact as Parquet parts by hash of the request id, with commit records.
 
-    An update rewrites only the periods that hold a changed request. The new rows
-    and the replaced periods are written to `<path>_work/<run>` first, so nothing
-    read is overwritten and a run that dies can be repeated: the mark sends it over
-    the same batches again.
+        <path>/parts/v=<version>/_bucket=<n>/   what one update wrote, once
+        <path>/commits/<version>                the version each bucket is read from, and
+                                                the mark the update has reached
+
+    An update writes the buckets that it changes under a new version and then its
+    commit record, in one rename. Until then readers and later runs see the commit
+    before: a run that dies leaves only files that its repetition overwrites, and the
+    mark cannot run ahead of the rows. The versions of the last two commits are kept.
     """
 
-    def __init__(self, spark, path: str, period: str = "day"):
-        self.spark, self.path, self.period = spark, path.rstrip("/"), period
+    def __init__(self, spark, path: str, buckets: int = 32):
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
         fields = [f for f in T._parse_datatype_string(FACT_COLUMNS)]
         self.columns = [f.name for f in fields]
-        self.schema = T.StructType(fields + [T.StructField("_period", T.StringType())])
-
-    def _stored(self) -> DataFrame | None:
-        return read_or_none(self.spark, self.path, self.schema)
+        self.schema = T.StructType(fields)
+
+    def _place(self, *parts: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _names(self, *parts: str) -> list[str]:
+        files, path = self._place(*parts)
+        return sorted(s.getPath().getName() for s in files.listStatus(path)) if files.exists(path) else []
+
+    def _commits(self) -> list[str]:
+        return [n for n in self._names("commits") if n.isdigit()]
+
+    def _read_commit(self, name: str) -> dict:
+        files, path = self._place("commits", name)
+        stream = files.open(path)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def last_commit(self) -> dict | None:
+        """{version, mark, buckets, parts: bucket -> version} of the newest commit."""
+        names = self._commits()
+        return self._read_commit(names[-1]) if names else None
+
+    def _commit(self, record: dict) -> None:
+        files, draft = self._place("commits", f"_{record['version']:012d}")
+        _, final = self._place("commits", f"{record['version']:012d}")
+        stream = files.create(draft, True)
+        stream.write(bytearray(json.dumps(record).encode()))
+        stream.close()
+        if not files.rename(draft, final):
+            raise RuntimeError(f"another run has committed version {record['version']}")
+
+    def _remove_old(self) -> None:
+        names = self._commits()
+        kept = {(int(v), int(b)) for n in names[-2:] for b, v in self._read_commit(n)["parts"].items()}
+        for version in self._names("parts"):
+            for bucket in self._names("parts", version):
+                if bucket.startswith("_bucket=") and (int(version[2:]), int(bucket[8:])) not in kept:
+                    files, path = self._place("parts", version, bucket)
+                    files.delete(path, True)
+        for name in names[:-2]:
+            files, path = self._place("commits", name)
+            files.delete(path, False)
+
+    def _rows(self, commit: dict, buckets=None) -> DataFrame:
+        folders = [f"{self.path}/parts/v={v:012d}/_bucket={b}" for b, v in commit["parts"].items()
+                   if buckets is None or int(b) in buckets]
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*folders)
 
     def read(self) -> DataFrame | None:
-        stored = self._stored()
-        return None if stored is None else stored.select(self.columns)
-
-    def _with_period(self, fact: DataFrame) -> DataFrame:
-        start = F.date_trunc(self.period, F.col("created_date").cast("timestamp_ntz"))
-        return fact.withColumn("_period", F.coalesce(F.date_format(start, "yyyy-MM-dd"),
-                                                     F.lit("none")))
-
-    def _write(self, df: DataFrame, path: str, dynamic: bool = False) -> None:
-        # Rebalancing keeps files few per period and splits a period that is large.
-        writer = df.hint("rebalance", "_period").write.mode("overwrite").partitionBy("_period")
-        if dynamic:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-        writer.parquet(path)
-
-    def _periods(self, df: DataFrame) -> set[str]:
-        """Distinct periods: at most one per calendar day."""
-        return {r[0] for r in df.select("_period").distinct().collect()}
+        commit = self.last_commit()
+        return None if commit is None else self._rows(commit)
+
+    def mark(self) -> dt.date:
+        """Newest batch date the fact has taken in."""
+        commit = self.last_commit()
+        return FIRST_DATE if commit is None else dt.date.fromisoformat(commit["mark"])
+
+    def _bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64("request_id"), F.lit(buckets)).cast("int")
+
+    def _write(self, fact: DataFrame, before: dict | None) -> None:
+        record = before or {"version": 0, "mark": FIRST_DATE.isoformat(), "buckets": self.buckets, "parts": {}}
+        version = record["version"] + 1
+        folder = f"v={version:012d}"
+        # Rebalancing keeps files few per bucket and splits a bucket that is large.
+        (fact.select(self.columns).withColumn("_bucket", self._bucket(record["buckets"])).hint("rebalance", "_bucket")
+         .write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/parts/{folder}"))
+        written = {n[8:]: version for n in self._names("parts", folder) if n.startswith("_bucket=")}
+        new = self._rows({"parts": written}).agg(F.max("batch_date").alias("mark")).first().mark
+        mark = max(filter(None, (dt.date.fromisoformat(record["mark"]), new)))
+        self._commit(record | {"version": version, "mark": mark.isoformat(), "parts": record["parts"] | written})
+        self._remove_old()
 
     def full_refresh(self, staged: DataFrame) -> None:
-        self._write(self._with_period(build_fact(deduplicate(staged))), self.path)
+        before = self.last_commit()
+        self._write(build_fact(deduplicate(staged)), None if before is None else before | {"parts": {}})
 
-    def update(self, staged: DataFrame, run: str, reprocess_from: dt.date | None = None) -> None:
+    def update(self, staged: DataFrame, reprocess_from: dt.date | None = None) -> None:
         """Bring in batches from the mark on; build the fact if there is none.
 
         Batches below the mark are skipped, as a late batch is by default; name
         its date in `reprocess_from` to include it.
         """
-        stored = self._stored()
-        if stored is None:
+        before = self.last_commit()
+        if before is None:
             self.full_refresh(staged)
             return
-        since = reprocess_from or high_water_mark(stored)
-        work = f"{self.path}_work/{run}"
-        incoming = self._with_period(build_fact(changed_requests(staged, since)))
-        self._write(incoming, f"{work}/incoming")
-        incoming = self.spark.read.schema(self.schema).parquet(f"{work}/incoming")
-
-        # Keys may move between periods; only two columns are read to find out.
-        keys = incoming.select("request_id")
-        left = stored.select("request_id", "_period").join(keys, "request_id", "left_semi")
-        touched = self._periods(incoming) | self._periods(left)
-        kept = (stored.where(F.col("_period").isin(sorted(touched)))
-                .join(keys, "request_id", "left_anti").select(stored.columns))
-        self._write(kept.unionByName(incoming), f"{work}/replacement")
-        replacement = self.spark.read.schema(self.schema).parquet(f"{work}/replacement")
-
-        filled = self._periods(replacement)
-        self._write(replacement, self.path, dynamic=True)
-        for period in sorted(touched - filled):
-            (replacement.where(F.lit(False)).drop("_period").coalesce(1)
-             .write.mode("overwrite").parquet(f"{self.path}/_period={period}"))
+        since = reprocess_from or dt.date.fromisoformat(before["mark"])
+        # The keys alone say which buckets can change: one small number each.
+        keys = staged.where(F.col("batch_date") >= F.lit(since)).select(self._bucket(before["buckets"]).alias("b"))
+        touched = {r.b for r in keys.distinct().collect()}
+        if not touched:
+            return
+        rows = F.struct(*self.columns)
+        incoming = build_fact(changed_requests(staged, since)).select(F.col("request_id").alias("_new_id"), rows.alias("_new"))
+        old = self._rows(before, touched).select("request_id", rows.alias("_old"))
+        merged = old.join(incoming, F.col("request_id").eqNullSafe(F.col("_new_id")), "full_outer")
+        self._write(merged.select(F.coalesce("_new", "_old").alias("_row")).select("_row.*"), before)
 
 
 # --- marts of the run without a warehouse ---------------------------------

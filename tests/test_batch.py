@@ -52,6 +52,21 @@ def models_read(spark, layout):
     return FactTable(spark, layout.fact).read()
 
 
+def test_a_late_batch_arrives_when_asked_for(spark, source, dialects, tmp_path):
+    layout = batch.Layout(str(tmp_path))
+    days = [dt.date(2026, 9, d) for d in (1, 2)]
+    for day, since, rows in ((days[1], None, 13), (days[0], None, 13), (days[0], days[0], 27)):
+        batch.run_batch(spark, source, D.SOURCE_NAMES, day, dialects, layout, now=NOW, reprocess_from=since)
+        assert models_read(spark, layout).count() == rows
+
+
+def test_the_live_run_deals_newest_first(spark, source, dialects):
+    result = batch.live_run(source, D.SOURCE_NAMES, 40, dialects, now=NOW)
+    rows = result.canonical.select("created_at", "request_id", "_source_system").collect()
+    order = sorted(sorted(rows, key=lambda r: r.request_id or ""), key=lambda r: r.created_at, reverse=True)
+    assert [r._source_system for r in order[:8]] == list(D.HEADERS) * 2
+
+
 def test_gate_stops_a_bad_batch(spark, source, dialects, tmp_path):
     with pytest.raises(Q.QualityGateError, match="not_in_future"):
         batch.run_batch(spark, source, D.SOURCE_NAMES, dt.date(2026, 9, 1), dialects,

@@ -13,16 +13,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small input out to all cores where a task or two would read it.
-
-    A Parquet file of a single row group is one task however many cores there are.
-    A table of cluster size has more splits than this and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, 16) else df
-
-
 def prepare(spark: SparkSession) -> SparkSession:
     apply_defaults(spark)
     ship_package(spark)
@@ -92,7 +82,8 @@ LANDED = {
 def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as landed rows; an order is landed once per line."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    return (spread(lines).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # The join deals large tables out by this key anyway.
+    return (lines.repartition("l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .selectExpr(*[f"{sql} as {name}" for name, sql in LANDED.items()]))
 
 
@@ -128,7 +119,7 @@ SOURCE = {
 
 
 def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "orders")).selectExpr(
+    return table(spark, sf_dir, "orders").selectExpr(
         *[f"{sql} as {name}" for name, sql in SOURCE.items()])
 
 
