@@ -101,7 +101,10 @@ class Check:
 
 
 def standard_checks(now: Column, models: Mapping[str, str] | None = None) -> list[Check]:
-    """The 44 checks on the landing table and the models."""
+    """The 44 checks on the landing table and the models.
+
+    Fixed values: which checks there are, their limits and their names.
+    """
     m = {k: k for k in ("raw", "staged", "dim", "fact", "daily")} | dict(models or {})
 
     def nn(model, *columns):
@@ -219,8 +222,8 @@ def row_checks(landed: DataFrame, now: Column) -> DataFrame:
     """The same guarantees on untyped rows: blanks are missing, and bad rows are
     counted, not bad values.
 
-    Rows are folded per request id first, which gives the surplus copies and keeps
-    the whole set to one pass.
+    The rules are counted in one global aggregate, which moves a row per task. Surplus
+    copies are a second one, over the ids alone, folded before they are shuffled.
     """
     created, closed = to_timestamp(F.col("created_at")), to_timestamp(F.col("closed_at"))
     limit = hours_later(now, 24)
@@ -231,6 +234,7 @@ def row_checks(landed: DataFrame, now: Column) -> DataFrame:
 
     borough = F.trim(F.upper(F.coalesce("borough", F.lit(""))))
     backdated = closed < created
+    # The names of the checks, those they mirror, and the limits.
     rules = [(f"not_null: {c}", f"not_null_{c}", F.col(c).isNull() | (F.col(c) == ""), "")
              for c in REQUIRED_FIELDS]
     rules += [
@@ -243,10 +247,9 @@ def row_checks(landed: DataFrame, now: Column) -> DataFrame:
         ("accepted_values: borough", "accepted_values_borough", ~borough.isin(BOROUGHS + [""]), ""),
         ("closed_at is never before created_at", "assert_closed_after_created", backdated, ""),
     ]
-    per_id = landed.groupBy("request_id").agg(
-        (F.count("*") - 1).alias("dup"),
-        *[F.count_if(bad).alias(f"c{i}") for i, (_, _, bad, _) in enumerate(rules)])
-    totals = per_id.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in per_id.columns[1:]])
+    copies = landed.groupBy("request_id").agg((F.count("*") - 1).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)))
+    totals = landed.agg(*[F.count_if(bad).alias(f"c{i}") for i, (_, _, bad, _) in enumerate(rules)]).withColumn(
+        "dup", copies.scalar())
     counted = [(name, mirrors, f"c{i}", detail) for i, (name, mirrors, _, detail) in enumerate(rules)]
     counted.append(("unique: request_id", "unique_fct_request_id", "dup", ""))
     out = [F.struct(F.lit(name).alias("check"), F.lit(mirrors).alias("mirrors"),
@@ -257,5 +260,5 @@ def row_checks(landed: DataFrame, now: Column) -> DataFrame:
         "check", "mirrors", "failures",
         (backdated_row | (F.col("failures") == 0)).alias("passed"),
         F.when(backdated_row & (F.col("failures") > 0), F.format_string(
-            "%d found, flagged and quarantined, not dropped", "failures"))
-        .when(backdated_row, "none in this batch").otherwise(F.col("detail")).alias("detail"))
+            "%d row(s) quarantined: flagged, without a duration", "failures"))
+        .when(backdated_row, "no such row").otherwise(F.col("detail")).alias("detail"))

@@ -258,6 +258,15 @@ def column_map(decisions: DataFrame, source_system: str) -> dict[str, str]:
             for r in mapped.select("source_column", "canonical_field").collect()}
 
 
+def column_maps(decisions: DataFrame) -> dict[str, dict[str, str]]:
+    """column_map() of every system, in one job: at most one entry per field each."""
+    maps: dict[str, dict[str, str]] = {}
+    rows = decisions.where(F.col("canonical_field").isNotNull())
+    for r in rows.select("source_system", "source_column", "canonical_field").collect():
+        maps.setdefault(r.source_system, {})[r.source_column] = r.canonical_field
+    return maps
+
+
 def flatten(results: DataFrame) -> DataFrame:
     """results(source_system, decisions array) -> one row per decision."""
     return results.select("source_system", F.explode("decisions").alias("d")).select(
@@ -297,8 +306,32 @@ def mapping_stats(decisions: DataFrame) -> DataFrame:
         F.array_join("missing_required", ",").alias("missing_required"))
 
 
-def mapping_rollup(stats: DataFrame) -> DataFrame:
-    """The batch over its systems; rates are weighted by columns."""
+def mapping_rollup(stats: DataFrame, claims: DataFrame | None = None,
+                   rows: DataFrame | None = None) -> DataFrame:
+    """The batch over its systems; rates are weighted by columns.
+
+    With claims (decisions with their proposal_outcome) it has the overrides and the
+    proposals that were invalid or too low; with rows(source_system, rows_read,
+    rows_loaded) the rows in total, and `sources`, an entry for each system.
+    """
+    totals = _rollup(stats)
+    if claims is not None:
+        outcome = F.col("proposal_outcome")
+        counts = claims.agg(_count(F.col("method") == "override").alias("overrides_applied"),
+                            _count(outcome == "invalid").alias("proposals_invalid"),
+                            _count(outcome == "low").alias("proposals_low"))
+        totals = totals.withColumn("_c", counts.select(F.struct("*")).scalar()).select("*", "_c.*").drop("_c")
+    if rows is not None:
+        per = stats.join(rows, "source_system", "left").select(
+            "source_system", F.coalesce("rows_read", F.lit(0)).alias("rows_read"),
+            F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded"), "columns_total", "columns_mapped", "auto_match_rate")
+        counts = per.agg(F.sum("rows_read").alias("rows_read"), F.sum("rows_loaded").alias("rows_loaded"),
+                         F.sort_array(F.collect_list(F.struct(*per.columns))).alias("sources"))
+        totals = totals.withColumn("_c", counts.select(F.struct("*")).scalar()).select("*", "_c.*").drop("_c")
+    return totals
+
+
+def _rollup(stats: DataFrame) -> DataFrame:
     s = stats.agg(
         F.count("*").alias("source_systems"), F.sum("columns_total").alias("columns_total"),
         F.sum("columns_mapped").alias("columns_mapped"),

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reqmill.functions.scalars import batch_dates, ntz, utc_now
@@ -78,9 +78,9 @@ def ingest_day(spark: SparkSession, day: dt.date, batch_id: str, dialects: Diale
     decisions = tables.read_decisions(spark, layout.decision_log, str(day), batch_id)
     if strict:
         M.require_fields(decisions)
+    maps = M.column_maps(decisions)
     landed = union_systems([
-        apply_mapping(df, M.column_map(decisions, s), s, str(day), batch_id)
-        for s, df in frames.items()])
+        apply_mapping(df, maps.get(s, {}), s, str(day), batch_id) for s, df in frames.items()])
     return tables.replace_batch(landed, layout.landing, str(day)), decisions
 
 
@@ -101,6 +101,17 @@ def build_models(spark: SparkSession, layout: Layout, reprocess_from: dt.date |
             "dim": spark.read.parquet(layout.agencies), "daily": spark.read.parquet(layout.daily)}
 
 
+def _row_counts(spark: SparkSession, layout: Layout, day: dt.date) -> DataFrame:
+    """(source_system, rows_read, rows_loaded): rows of the day's files, by their
+    manifest, and in the landing."""
+    files_of_day = spark.read.schema("files array<struct<source_system:string,rows:bigint>>").json(
+        f"{files.day_dir(layout.raw_files, day)}/_manifest")
+    read = files_of_day.select(F.inline("files").alias("source_system", "rows_read"))
+    loaded = (tables.read_landing(spark, layout.landing).where(F.col("_batch_date") == str(day))
+              .groupBy(F.col("_source_system").alias("source_system")).agg(F.count("*").alias("rows_loaded")))
+    return read.join(loaded, "source_system", "left")
+
+
 def run_batch(spark: SparkSession, source: DataFrame, names: Mapping[str, str], day: dt.date,
               dialects: Dialects, layout: Layout, batch_id: str | None = None,
               now: str | None = None, enforce: bool = True,
@@ -123,8 +134,8 @@ def run_batch(spark: SparkSession, source: DataFrame, names: Mapping[str, str],
         "3_deduped": built["deduped"], "4_fact": built["fact"],
         "5_daily_mart": built["daily"], "5_agency_dim": built["dim"]})
     report = serving.run_report(
-        str(day), batch_id, funnel, summary, M.mapping_rollup(M.mapping_stats(decisions)),
-        M.confidence_histogram(decisions))
+        str(day), batch_id, funnel, summary, M.mapping_rollup(M.mapping_stats(decisions), decisions, _row_counts(
+            spark, layout, day)), M.confidence_histogram(decisions), decisions, spark.read.parquet(path))
     target = f"{layout.reports}/quality_report/{day}"
     tables.write_summary(report, target)
     if enforce:
@@ -146,14 +157,28 @@ class LiveRun:
     oldest_created_at: str = ""
     decisions: DataFrame | None = None
     canonical: DataFrame | None = None
-    checks: DataFrame | None = None
+    checks: DataFrame | None = None        # on the untyped rows
+    results: DataFrame | None = None       # of the 44 checks on the models
     marts: dict[str, DataFrame] = field(default_factory=dict)
     error: str | None = None
+    note: str | None = None                # why the marts are those without models
+
+
+def _live_models(landed: DataFrame, now: Column) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The typed models of a few landed rows, the reports on them, and the 44 checks."""
+    staged = models.stage(landed)
+    deduped = models.deduplicate(staged).checkpoint()
+    fact, dim = models.build_fact(deduped), models.agency_dimension(deduped)
+    daily = models.daily_sla(fact)
+    results = Q.run_checks(Q.standard_checks(now), {
+        "raw": landed, "staged": staged, "fact": fact, "dim": dim, "daily": daily}).checkpoint()
+    return serving.live_reports(fact, dim), results
 
 
 def live_run(source: DataFrame, names: Mapping[str, str], limit: int, dialects: Dialects,
              now: str | None = None) -> LiveRun:
-    """The newest rows through mapping, row checks and marts, nothing stored.
+    """The newest rows through mapping, row checks, models, their checks and reports,
+    nothing stored. Should the models fail, the marts come from the untyped rows.
 
     Trouble is reported in `error`, not raised.
     """
@@ -182,16 +207,19 @@ def live_run(source: DataFrame, names: Mapping[str, str], limit: int, dialects:
         result.decisions = M.require_fields(
             M.resolve_headers(headers, dialects.overrides, dialects.proposals))
         day = result.newest_created_at[:10] or str(utc_now().date())
-        frames = []
+        maps, frames = M.column_maps(result.decisions), []
         for system, header_of in dialects.headers.items():
             own = dealt.where(F.col("source_system") == system).select(
                 *[F.col(f).alias(h) for f, h in header_of.items()],
                 *[F.lit(system).alias(c) for c in dialects.extras.get(system, ())])
-            frames.append(apply_mapping(own, M.column_map(result.decisions, system), system,
-                                        day, "live-demo"))
+            frames.append(apply_mapping(own, maps.get(system, {}), system, day, "live-demo"))
         result.canonical = union_systems(frames)
         result.checks = Q.row_checks(result.canonical, ntz(now or utc_now()))
-        result.marts = models.live_marts(result.canonical)
+        try:
+            result.marts, result.results = _live_models(result.canonical, ntz(now or utc_now()))
+        except Exception as err:
+            result.note = f"{type(err).__name__}: {err}"
+            result.marts = models.live_marts(result.canonical)
     except Exception as err:
         result.error = f"{type(err).__name__}: {err}"
     return result

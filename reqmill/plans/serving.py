@@ -11,8 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reqmill.functions.scalars import round_half
-from reqmill.schema import SOURCE_SYSTEMS
+from reqmill.functions.scalars import round_half, utc_now
+from reqmill.operators.checks import not_passing
+from reqmill.operators.mapping import counts_by_method
+from reqmill.schema import METHODS, SOURCE_SYSTEMS
 
 
 def daily_volume(daily: DataFrame) -> DataFrame:
@@ -38,6 +40,7 @@ def top_complaints(fact: DataFrame, k: int = 15) -> DataFrame:
             .orderBy(F.desc("requests"), F.asc_nulls_last("complaint_type")).limit(k))
 
 
+# The columns of the report.
 NEWEST_COLUMNS = ["request_id", "created_at", "closed_at", "agency_code", "complaint_type",
                   "descriptor", "borough", "status", "resolution_hours", "has_invalid_timestamps",
                   "source_system", "batch_date"]
@@ -49,6 +52,7 @@ def newest_facts(fact: DataFrame, k: int = 8000) -> DataFrame:
 
 
 def timestamp_anomalies(fact: DataFrame) -> DataFrame:
+    # The columns of the report.
     return (fact.where("has_invalid_timestamps")
             .select("request_id", "agency_code", "complaint_type", "created_at", "closed_at", "borough")
             .orderBy("created_at", "request_id"))
@@ -129,21 +133,23 @@ def _record(one_row: DataFrame) -> Column:
 
 
 def headline(fact: DataFrame, decisions: DataFrame, summary: DataFrame) -> DataFrame:
-    """One row of totals over the fact, the decisions and the checks."""
+    """One row of totals over the fact, the decisions with their tiers, and the checks."""
     auto = F.col("method") != "override"
     mapped = auto & F.col("canonical_field").isNotNull()
     rows = fact.agg(F.count("*").alias("rows_loaded"),
                     F.count_distinct("batch_date").alias("batches"))
     tiers = decisions.agg(
         F.count("*").alias("mapping_decisions"),
-        (F.count_if(mapped).cast("double") / F.nullif(F.count_if(auto), F.lit(0))).alias("auto_match_rate"))
+        (F.count_if(mapped).cast("double") / F.nullif(F.count_if(auto), F.lit(0))).alias("auto_match_rate"),
+        *[F.count_if(F.col("method") == m).alias(m) for m in METHODS])
     checks = summary.select("tests_total", "tests_failed", "test_pass_rate")
     return rows.select("*", _record(tiers).alias("m"), _record(checks).alias("q")).select(
         *rows.columns, "m.*", "q.*")
 
 
 def run_report(batch_date: str, batch_id: str, funnel: DataFrame, summary: DataFrame,
-               rollup: DataFrame, histogram: DataFrame) -> DataFrame:
+               rollup: DataFrame, histogram: DataFrame, decisions: DataFrame, results: DataFrame,
+               written_at: str | None = None) -> DataFrame:
     """The run as one nested record."""
     def listed(df, *columns):
         return df.agg(F.sort_array(F.collect_list(F.struct(*columns)))).scalar()
@@ -152,4 +158,8 @@ def run_report(batch_date: str, batch_id: str, funnel: DataFrame, summary: DataF
         F.lit(batch_date).alias("batch_date"), F.lit(batch_id).alias("batch_id"),
         listed(funnel, "stage", "rows").alias("row_counts"),
         _record(summary).alias("tests"), _record(rollup).alias("mapping"),
-        listed(histogram, "position", "bucket", "columns").alias("confidence"))
+        listed(histogram, "position", "bucket", "columns").alias("confidence"),
+        listed(counts_by_method(decisions), "position", "method", "columns").alias("methods"),
+        decisions.agg(F.count("*")).scalar().alias("decisions"),
+        listed(not_passing(results), "test", "status", "failures").alias("not_passing"),
+        F.lit(written_at or utc_now().isoformat(timespec="seconds")).alias("written_at"))

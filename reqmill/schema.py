@@ -114,7 +114,7 @@ DECISION_COLUMNS = (
 LOG_COLUMNS = (
     "batch_date string, batch_id string, source_system string, model string, "
     "source_column string, canonical_field string, method string, confidence double, "
-    "reasoning string"
+    "reasoning string, proposal_outcome string"
 )
 
 

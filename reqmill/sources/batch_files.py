@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reqmill.session import shared_dir
+
 
 class EmptyBatch(ValueError):
     pass
@@ -32,8 +34,14 @@ def write_batch(rows: DataFrame, root: str, day: dt.date | str,
     `rows` carries `source_system`, `row_index` and the canonical columns;
     `headers` gives canonical field -> header per system, `extras` the operational
     columns, filled with '<system>-<row number within the system>'.
+
+    The rows are dealt out once, to a folder for each system in the shared scratch
+    space; each system's files are then written from its own folder.
     """
     extras = extras or {}
+    dealt = f"{shared_dir(rows.sparkSession)}/dealt"
+    rows.write.partitionBy("source_system").parquet(dealt)
+    rows = rows.sparkSession.read.schema(rows.schema).parquet(dealt)
     for system, names in headers.items():
         stamped = [F.concat(F.lit(f"{system}-"),
                             F.floor(F.col("row_index") / len(headers)).cast("string")).alias(c)

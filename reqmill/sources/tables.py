@@ -67,17 +67,21 @@ def row_count(spark: SparkSession, relation: str) -> int:
 
 def append_decisions(decisions: DataFrame, path: str, batch_date: str, batch_id: str,
                      model: str = "") -> None:
-    """Append every header decision to the JSON-lines log."""
+    """Append every header decision to the JSON-lines log, in its run's own folder."""
     (decisions.withColumns({"batch_date": F.lit(batch_date), "batch_id": F.lit(batch_id),
                             "model": F.lit(model)})
      .select([f.name for f in T._parse_datatype_string(LOG_COLUMNS)])
-     .write.mode("append").json(path))
+     .write.mode("append").partitionBy("batch_date", "batch_id").json(path))
 
 
 def read_decisions(spark: SparkSession, path: str, batch_date: str | None = None,
                    batch_id: str | None = None) -> DataFrame:
-    """The decision log. Re-runs append, so name the run to count it once."""
-    log = spark.read.schema(LOG_COLUMNS).json(path)
+    """The decision log. Re-runs append, so name the run to count it once.
+
+    A named date or run reads its own folder only.
+    """
+    schema = T._parse_datatype_string(LOG_COLUMNS)
+    log = spark.read.schema(schema).json(path).select([f.name for f in schema])
     if batch_date is not None:
         log = log.where(F.col("batch_date") == batch_date)
     if batch_id is not None:

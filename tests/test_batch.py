@@ -40,6 +40,9 @@ def test_backfill_and_rerun(spark, source, dialects, tmp_path):
     assert (last.tests.tests_total, last.tests.tests_failed, last.mapping.columns_total) == (44, 0, 83)
     assert last.mapping.auto_match_rate == 0.75
     assert [c["columns"] for c in last.confidence] == [46, 15, 2, 20]
+    assert (last.decisions, sum(m["columns"] for m in last.methods), last.written_at[:2]) == (83, 83, "20")
+    assert last.mapping.rows_read == last.mapping.rows_loaded == 13 and len(last.mapping.sources) == 4
+    assert [c.status for c in last.not_passing] == ["warn"] * last.tests.tests_warned
     manifest = spark.read.json(f"{layout.raw_files}/dt=2026-09-02/_manifest").first()
     assert manifest.total_rows == 13 and len(manifest.files) == 4
     assert {r.batch_id for r in models_read(spark, layout).select("batch_id").distinct().collect()} >= {"again"}
@@ -84,10 +87,21 @@ def test_live_run(spark, source, dialects):
     assert result.rows_fetched == result.canonical.count() == 40
     assert result.decisions.count() == 83
     assert all(r.passed for r in result.checks.collect())
+    assert result.note is None and result.results.count() == 44
+    assert not result.results.where("status = 'fail'").count()
     assert result.newest_created_at[:10] == "2026-09-03"
     assert {r.agency_code for r in result.marts["dim_agency"].collect()} == {"NYPD", "HPD"}
 
 
+def test_a_live_run_without_models_still_has_marts(spark, source, dialects, monkeypatch):
+    def fail(landed):
+        raise ArithmeticError("no models")
+    monkeypatch.setattr(batch.models, "stage", fail)
+    result = batch.live_run(source, D.SOURCE_NAMES, 40, dialects, now=NOW)
+    assert result.error is None and "no models" in result.note and result.results is None
+    assert {r.agency_code for r in result.marts["dim_agency"].collect()} == {"NYPD", "HPD"}
+
+
 def test_trouble_in_a_live_run_is_reported(spark, source, dialects):
     result = batch.live_run(source.drop("agency"), D.SOURCE_NAMES, 40, dialects)
     assert result.error and "agency" in result.error

@@ -386,6 +386,16 @@ add("header_pivot", GOLD, "select expected as canonical_field, " + ", ".join(
     f"max(source_column) filter (where dialect = '{s}') as {s}" for s in SOURCE_SYSTEMS)
     + " from gold where expected is not null group by expected")
 add("known_headers", GOLD, "select distinct source_column as header from gold")
+_ODD = "case when length(source_system) % 2 = 0 then 'nowhere' end"
+add("invalid_overrides", _feeds("o", D.OVERRIDES, "dialect, source_column, canonical_field"), f"""select source_system, source_column,
+  {_ODD} as canonical_field from o where canonical_field is null and {_ODD} is not null""")
+add("rollup_with_rows", PROPOSED + """,
+lines as (select count(*) as rows_read, count(*) filter (l_linestatus = 'F') as rows_loaded
+          from lineitem join supplier on l_suppkey = s_suppkey)""", """select count(distinct source_system) as source_systems,
+  count(*) filter (method = 'override') as overrides_applied, count(*) filter (proposal_outcome = 'invalid') as proposals_invalid,
+  count(*) filter (proposal_outcome = 'low') as proposals_low, any_value(rows_read) as rows_read,
+  any_value(rows_loaded) as rows_loaded, count(distinct source_system)::int as entries
+from proposed, lines""")
 add("override_listing", _feeds("o", D.OVERRIDES, "dialect, source_column, canonical_field"),
     "select source_system, source_column, canonical_field from o")
 
@@ -507,7 +517,7 @@ add("row_checks", LANDED + ",\n" + _TYPED + ",\nfound as (" + "\nunion all ".joi
        f"(select count(*) from typed where trim(upper(borough)) not in {_in([*BOROUGHS, ''])}), ''"]
     + ["select 'closed_at is never before created_at', 'assert_closed_after_created', "
        "(select count(*) from typed where z < c), "
-       "(select count(*) from typed where z < c) || ' found, flagged and quarantined, not dropped'"]) + ")",
+       "(select count(*) from typed where z < c) || ' row(s) quarantined: flagged, without a duration'"]) + ")",
     """select "check", mirrors, failures, failures = 0 or mirrors = 'assert_closed_after_created' as passed, detail
 from found""")
 
@@ -534,12 +544,14 @@ from lfact group by 1""")
 add("batch_date_list", LANDED, "select distinct _batch_date from landed")
 add("headline", SUITE + ",\n" + FACT + ",\n" + GOLD,
     f"""select (select count(*) from fact) as rows_loaded, (select count(distinct batch_date) from fact) as batches,
-  (select count(*) from gold) as mapping_decisions, (select {_RATE} from gold) as auto_match_rate,
-  tests_total, tests_failed, test_pass_rate from (select {_TOTALS} from results)""")
+  (select count(*) from gold) as mapping_decisions, (select {_RATE} from gold) as auto_match_rate, tiers.*,
+  tests_total, tests_failed, test_pass_rate from (select {_TOTALS} from results), (select {_BY_METHOD} from gold) tiers""")
 add("run_report", SUITE + ",\n" + GOLD, f"""select '{DAY}' as batch_date, 'b1' as batch_id,
   (select count(*) from landed) as landed, (select count(*) from lfact) as fact, tests_total, tests_passed,
   (select count(*) from gold) as columns_total, (select round({_RATE}, 4) from gold) as auto_match_rate,
-  (select count(*) from gold where canonical_field is null) as unmapped from (select {_TOTALS} from results)""")
+  (select count(*) from gold where canonical_field is null) as unmapped, (select count(*) from gold) as decisions,
+  (select count(*) from gold where method = 'exact') as exact, (tests_total - tests_passed)::int as checks_not_passing
+from (select {_TOTALS} from results)""")
 
 _LIVE = LANDED + """,
 live as (select * replace (

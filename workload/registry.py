@@ -179,9 +179,9 @@ def files_round_trip(spark, d):
     tables.append_decisions(M.resolve_headers(headers, D.override_table(spark)),
                             f"{root}/log", str(DAY), "b1")
     decisions = tables.read_decisions(spark, f"{root}/log", str(DAY), "b1")
+    maps = M.column_maps(decisions)
     return union_systems([
-        apply_mapping(f, M.column_map(decisions, s), s, str(DAY), "b1", "2024-01-16T00:00:00+00:00")
-        for s, f in frames.items()])
+        apply_mapping(f, maps[s], s, str(DAY), "b1", "2024-01-16T00:00:00+00:00") for s, f in frames.items()])
 
 
 @query
@@ -441,6 +441,27 @@ def known_headers(spark, d):
         F.col("source_column").alias("header"), F.col("expected").alias("canonical_field")))
 
 
+@query
+def invalid_overrides(spark, d):
+    """Overrides with an unknown field, made of those to a null field of even suppliers."""
+    target = F.when(F.col("canonical_field").isNull() & (F.length("source_system") % 2 == 0), "nowhere")
+    return M.invalid_overrides(I.feed_overrides(spark, d).withColumn(
+        "canonical_field", F.coalesce("canonical_field", target)))
+
+
+@query
+def rollup_with_rows(spark, d):
+    """Totals of the header decisions and of the rows of each feed, here its parts."""
+    decisions = M.resolve_headers(I.feed_headers(spark, d), I.feed_overrides(spark, d), I.feed_proposals(spark, d))
+    lines = I.table(spark, d, "lineitem").groupBy("l_suppkey").agg(
+        F.count("*").alias("rows_read"), F.count_if(F.col("l_linestatus") == "F").alias("rows_loaded"))
+    rows = I.table(spark, d, "supplier").join(lines, F.col("s_suppkey") == F.col("l_suppkey")).select(
+        F.col("s_name").alias("source_system"), "rows_read", "rows_loaded")
+    return M.mapping_rollup(M.mapping_stats(decisions), decisions, rows).select(
+        "source_systems", "overrides_applied", "proposals_invalid", "proposals_low", "rows_read", "rows_loaded",
+        F.size("sources").alias("entries"))
+
+
 @query
 def override_listing(spark, d):
     return serving.override_listing(I.feed_overrides(spark, d))
@@ -555,8 +576,9 @@ def daily_volume(spark, d):
 
 @query
 def daily_volume_first_boroughs(spark, d):
-    return serving.volume_of_first_boroughs(
-        serving.daily_volume(_chain(spark, d)["daily"]), 2)
+    path = f"{shared_dir(spark)}/volume"  # read twice, so stored
+    serving.daily_volume(_chain(spark, d)["daily"]).write.parquet(path)
+    return serving.volume_of_first_boroughs(spark.read.parquet(path), 2)
 
 
 @query
@@ -603,15 +625,19 @@ def headline(spark, d):
 @query
 def run_report(spark, d):
     decisions, t = _decisions(spark, d), _stored_chain(spark, d)
+    path = f"{shared_dir(spark)}/results"
+    _results(spark, d, t).write.parquet(path)
+    results = spark.read.parquet(path)
     report = serving.run_report(
         str(DAY), "b1", Q.stage_funnel({"1_landed": t["raw"], "4_fact": t["fact"]}),
-        Q.summarize(_results(spark, d, t)), M.mapping_rollup(M.mapping_stats(decisions)),
-        M.confidence_histogram(decisions))
+        Q.summarize(results), M.mapping_rollup(M.mapping_stats(decisions)),
+        M.confidence_histogram(decisions), decisions, results)
     return report.select(
         "batch_date", "batch_id", F.col("row_counts")[0]["rows"].alias("landed"),
         F.col("row_counts")[1]["rows"].alias("fact"), "tests.tests_total", "tests.tests_passed",
         "mapping.columns_total", "mapping.auto_match_rate",
-        F.col("confidence")[3]["columns"].alias("unmapped"))
+        F.col("confidence")[3]["columns"].alias("unmapped"), "decisions",
+        F.col("methods")[0]["columns"].alias("exact"), F.size("not_passing").alias("checks_not_passing"))
 
 
 @query
