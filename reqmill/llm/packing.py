@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from reqmill.llm.base import stored
 
 CAPACITY = 2048
-MEMO = 1_000_000  # words whose ids a Python worker remembers
+MEMO = 250_000  # words whose ids a Python worker remembers
 BATCH_TOKENS = 500_000  # ids in one outgoing batch, about
 SALTS = 64  # parts of a length, at least
 PART_ROWS = 1_000_000  # pieces for each further part

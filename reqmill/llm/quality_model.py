@@ -82,6 +82,12 @@ class Model:
         return np.clip(np.floor((raw + 0.5) / 2 * BINS), 0, BINS - 1).astype(int)
 
 
+def _scores(model: Model | float, stats: list[list[float]]) -> pa.Array:
+    if isinstance(model, float) or not stats:
+        return pa.array([model] * len(stats), pa.float64())
+    return pa.array(model.levels[model.bins(np.array(stats))], pa.float64())
+
+
 def isotonic(n: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Rising share of ones for each bin: neighbours that fall are pooled. Bins without
     rows lie between their neighbours."""
@@ -168,13 +174,17 @@ def score(stats: DataFrame, model: Model | float) -> DataFrame:
     schema = ", ".join([*(f.simpleString().replace(":", " ", 1) for f in stats.select(*kept).schema), "score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = shared.value
         for batch in batches:
-            n = batch.num_rows
-            if isinstance(fitted, float) or not n:
-                scores = np.full(n, fitted if n else 0.0)
-            else:
-                scores = fitted.levels[fitted.bins(np.array(batch.column("stats").to_pylist()))]
-            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in kept} | {"score": pa.array(scores, pa.float64())})
+            scores = _scores(shared.value, batch.column("stats").to_pylist())
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in kept} | {"score": scores})
 
     return stats.mapInArrow(run, schema)
+
+
+def score_texts(docs: DataFrame, model: Model | float, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """score() of measured(), in one pass over the texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        return lambda texts: {"score": _scores(shared.value, [statistics((x or b"").decode()) for x in texts])}
+    return map_texts(docs, make, "score double", keep=keep)

@@ -36,7 +36,7 @@ CHOOSING, FITTING = 12, 60  # passes over the documents
 BATCH = 256
 RATE = 0.2
 EVIDENCE = 2.0  # what fewer documents than these say about a feature is not learned
-MEMO = 500_000
+MEMO = 200_000  # words whose weights a task remembers
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 EDGES = " \t\n\x0b\x0c\r,;:\"'()[]{}<>|*#%$&-_"
