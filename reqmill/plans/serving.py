@@ -94,12 +94,13 @@ def known_headers(dialects: DataFrame) -> DataFrame:
 
 def header_comparison(dialects: DataFrame, systems: Sequence[str] = SOURCE_SYSTEMS,
                       fields: Sequence[str] | None = None) -> DataFrame:
-    """One row per canonical field, one column per system with its header."""
+    """One row per canonical field, one column per system with its header, the smallest
+    if a system has several."""
     rows = dialects.where(F.col("canonical_field").isNotNull())
     if fields is not None:
         rows = rows.where(F.col("canonical_field").isin(list(fields)))
     return (rows.groupBy("canonical_field").pivot("source_system", list(systems))
-            .agg(F.first("header", ignorenulls=True)))
+            .agg(F.min("header")))
 
 
 def override_listing(overrides: DataFrame) -> DataFrame:

@@ -136,6 +136,24 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suppliers.join(headers, "dialect")
 
 
+# Headers that differ by what the parts are called: a system for each brand, a header
+# for each of its part names with a word by size, in one of four spellings. Some come
+# near a field, some don't.
+_WORD = """case p_size % 8 when 0 then 'status' when 1 then 'date' when 2 then 'borough' when 3 then 'agency'
+  when 4 then 'type' when 5 then 'id' when 6 then 'city' else 'latitude' end"""
+PART_HEADER = f"""case length(p_name) % 4
+  when 0 then replace(initcap(p_name), ' ', '') || upper(substr({_WORD}, 1, 1)) || substr({_WORD}, 2) when 1 then upper(replace(p_name, ' ', '_')) || '_' || upper({_WORD})
+  when 2 then split_part(p_name, ' ', 1) || ' ' || {_WORD} else {_WORD} || ' ' || substr(p_name, 1, 2) end"""
+PART_FIELD = "case p_size % 8 when 0 then 'status' when 2 then 'borough' when 7 then 'latitude' end"
+
+
+def part_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source_system, ordinal, source_column, canonical_field)."""
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_brand as source_system", "cast(p_partkey as int) as ordinal", f"{PART_HEADER} as source_column",
+        f"{PART_FIELD} as canonical_field")
+
+
 def feed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds(spark, sf_dir).select("source_system", "ordinal", "source_column")
 

@@ -382,10 +382,17 @@ add("map_flatten", GOLD, """select source_system, source_column, canonical_field
   cast(confidence as double) as confidence from gold""")
 add("decision_log", GOLD, """select method, count(*) as columns, 2 * count(*) as logged
 from gold group by method""")
-add("header_pivot", GOLD, "select expected as canonical_field, " + ", ".join(
-    f"max(source_column) filter (where dialect = '{s}') as {s}" for s in SOURCE_SYSTEMS)
-    + " from gold where expected is not null group by expected")
-add("known_headers", GOLD, "select distinct source_column as header from gold")
+_INITCAP = "array_to_string(list_transform(string_split({0}, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
+_PART_HEADER = I.PART_HEADER.replace("initcap(p_name)", _INITCAP.format("p_name"))
+PARTS = f"""parts as (
+  select distinct p_brand as source_system, {_PART_HEADER} as source_column, {I.PART_FIELD} as canonical_field
+  from part)"""
+add("header_pivot", GOLD + ",\n" + PARTS + """,
+rows as (select dialect as s, source_column as h, expected as f from gold
+         union all select 'parts', source_column, canonical_field from parts)""", "select f as canonical_field, " + ", ".join(
+    f"min(h) filter (s = '{s}') as {s}" for s in [*SOURCE_SYSTEMS, "parts"]) + " from rows where f is not null group by f")
+add("known_headers", GOLD + ",\n" + PARTS, """select source_column as header from gold
+union select source_column from parts""")
 _ODD = "case when length(source_system) % 2 = 0 then 'nowhere' end"
 add("invalid_overrides", _feeds("o", D.OVERRIDES, "dialect, source_column, canonical_field"), f"""select source_system, source_column,
   {_ODD} as canonical_field from o where canonical_field is null and {_ODD} is not null""")
@@ -659,3 +666,14 @@ from probes join ranked using (p) where candidate_rank <= 4"""
 add("daily_sla_approx", FACT, """select created_date, ifnull(borough, 'UNSPECIFIED') as borough, agency_code,
   count(*) as requests_opened, true as median_in_bounds
 from fact group by all""")
+
+ORACLES["map_varied_claims"] = _fuzzy(f"""select *, {_PROBE.format('source_column')} as p, {_NORM.format('source_column')} as norm
+from (with {PARTS} select distinct source_system, source_column from parts)""") + f""",
+names as (select {_NORM.format("phrase")} as norm,
+                 arg_min(field, (case when phrase = replace(field, '_', ' ') then 0 else 1 end) * 1000 + i) as field
+          from phrases group by 1)
+select source_system, source_column,
+       case when n.field is not null then n.field when score >= 0.82 then r.field end as canonical_field,
+       case when n.field is not null then 'exact' when score >= 0.82 then 'fuzzy' else 'unmapped' end as method,
+       case when n.field is not null then 1.0 else score end as confidence
+from probes left join names n using (norm) left join (from ranked where candidate_rank = 1) r using (p)"""

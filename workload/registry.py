@@ -428,17 +428,27 @@ def fuzzy_feed_candidates(spark, d):
 
 @query
 def header_pivot(spark, d):
-    rows = I.feeds(spark, d).select(
-        "dialect", "source_system", F.col("source_column").alias("header"),
+    """The smallest header of each field in the four systems that suppliers are, and in parts'."""
+    feeds = I.feeds(spark, d).select(
+        F.col("dialect").alias("source_system"), F.col("source_column").alias("header"),
         F.col("expected").alias("canonical_field"))
-    return serving.header_comparison(
-        rows.drop("source_system").withColumnRenamed("dialect", "source_system"))
+    parts = I.part_headers(spark, d).select(F.lit("parts").alias("source_system"),
+                                            F.col("source_column").alias("header"), "canonical_field")
+    return serving.header_comparison(feeds.unionByName(parts), [*SOURCE_SYSTEMS, "parts"])
 
 
 @query
 def known_headers(spark, d):
-    return serving.known_headers(I.feeds(spark, d).select(
-        F.col("source_column").alias("header"), F.col("expected").alias("canonical_field")))
+    feeds = I.feeds(spark, d).select(F.col("source_column").alias("header"), F.col("expected").alias("canonical_field"))
+    return serving.known_headers(feeds.unionByName(I.part_headers(spark, d).select(
+        F.col("source_column").alias("header"), "canonical_field")))
+
+
+@query
+def map_varied_claims(spark, d):
+    """The tier and field of headers that follow from the parts, before fields are contested."""
+    return M.propose(I.part_headers(spark, d)).select(
+        "source_system", "source_column", "canonical_field", "method", "confidence").distinct()
 
 
 @query
