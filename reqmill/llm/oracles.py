@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from reqmill.llm import licenses
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 QUALITY_RULES = rf"""
@@ -53,4 +55,32 @@ from (select doc_id, (('0x' || md5(coalesce(doc_id::varchar, ''))[1:15])::bigint
 join held using (slot)
 """
 
-ORACLES: dict[str, str] = {"op4_quality_rules": QUALITY_RULES, "op6_sharding": SHARDING}
+
+
+def _licenses() -> str:
+    """Both sequences of every text, then one step for each rule."""
+    known = ", ".join(f"('{t}', '{name}')" for name, texts in licenses.SENTENCES.items() for t in texts)
+    steps, last = [], "seq0"
+    for k, (licence, ids) in enumerate(licenses.RULES, 1):
+        at = licenses.pattern(ids)
+        steps.append(f"""seq{k} as (select rid, way, case when contains(s, '{at}') then list_append(found, '{licence}') else found end as found,
+  replace(s, '{at}', '<->') as s from {last})""")
+        last = f"seq{k}"
+    return rf"""with known(t, name) as (values {known}),
+d as (select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
+ways as (select rid, 1 as way, text from d union all select rid, 2, regexp_replace(text, '[\r\n]+', ' ', 'g') from d),
+parts as (select rid, way, unnest(l) as raw, generate_subscripts(l, 1) as n
+          from (select rid, way, regexp_split_to_array(text, '[.!?;:]+[ \t\r\n]+|[\r\n]+') as l from ways)),
+clean as (select rid, way, n, trim(regexp_replace(lower(raw), '[^a-z0-9.]+', ' ', 'g'), ' .') as t from parts),
+named as (select rid, way, n, '<' || coalesce(name, '?') || '>' as mark, name from clean left join known using (t) where t <> ''),
+seq0 as (select rid, way, []::varchar[] as found, regexp_replace(string_agg(mark, '' order by n), '(<\?>)+', '<?>', 'g') as s
+         from named group by rid, way),
+{", ".join(steps)},
+licences as (select rid, list_sort(list_distinct(flatten(list(found)))) as l from {last} group by rid),
+ids as (select rid, string_agg(name, ',' order by n) as ids, count(name) as n from named where way = 1 group by rid)
+select doc_id, coalesce(ids.n, 0)::bigint as n_sentences, coalesce(ids.ids, '') as identifiers,
+       coalesce(array_to_string(l, ','), '') as licences
+from d left join ids using (rid) left join licences using (rid)"""
+
+
+ORACLES: dict[str, str] = {"op2_licenses": _licenses(), "op4_quality_rules": QUALITY_RULES, "op6_sharding": SHARDING}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqmill.llm import byte_bpe, language, nearest, packing, quality_model, quality_rules, sharding, simhash, toxicity
+from reqmill.llm import byte_bpe, language, licenses, nearest, packing, quality_model, quality_rules, sharding, simhash, toxicity
 from reqmill.llm import oracles
 from reqmill.llm.base import remainder, stored, table
 
@@ -25,6 +25,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's licence sentences and the licences that they amount to."""
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.size("identifiers").cast("long").alias("n_sentences"),
+        F.array_join("identifiers", ",").alias("identifiers"), F.array_join(F.sort_array("licences"), ",").alias("licences"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language, learned outside the held-out fifth of the ids."""
     docs = table(spark, sf_dir, "documents")
@@ -83,6 +90,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_licenses": op2_licenses,
     "op3_language": op3_language,
     "op4_quality_rules": op4_quality_rules,
     "op5_simhash": op5_simhash,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import compare
 from llm import samples
-from reqmill.llm import byte_bpe, language, quality_model, quality_rules, queries, sharding, toxicity
+from reqmill.llm import byte_bpe, language, licenses, quality_model, quality_rules, queries, sharding, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,6 +69,44 @@ def test_noisy_or():
     assert toxicity.sentences("") == [(0, 0)] and toxicity.sentences("a. b") == [(0, 1), (2, 4)]
 
 
+# 2. Licenses.
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this
+file except in compliance with the License.  You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_licence_sentences_and_rules(spark):
+    texts = [APACHE, "Some prose. Released under the MIT License.\nMore prose", "ALL RIGHTS\nRESERVED.", "All rights reserved. Licensed under CC BY-NC 4.0.",
+             "This license is mine", None, "", "licensed under\nthe Apache License, Version 2.0.", "All rights reserved and more"]
+    rows = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [rows[i].licences for i in range(9)] == [
+        ["Apache-2.0"], ["MIT"], ["Proprietary"], ["CC-BY-NC-4.0", "Proprietary"], [], [], [], ["Apache-2.0"], []]
+    assert rows[1].sequence == "<?><MITNotice><?>" and rows[3].identifiers == ["AllRights", "CCBYNC4Notice"]
+
+
+def test_licence_tables():
+    texts = [t for ts in licenses.SENTENCES.values() for t in ts]
+    assert len(set(texts)) == len(texts) and all(any(h in t for h in licenses.HINTS) for t in texts)
+    assert all(set(ids) <= set(licenses.SENTENCES) for _, ids in licenses.RULES)
+    # No rule can hide one that is tried after it.
+    patterns = [licenses.pattern(ids) for _, ids in licenses.RULES]
+    assert not any(a in b for i, a in enumerate(patterns) for b in patterns[i + 1:])
+
+
+def test_licences_of_odd_rows(spark):
+    rows = licenses.scan(samples.odd(spark)).collect()
+    assert len(rows) == len(samples.ODD) and all(r.licences == [] and r.identifiers == [] for r in rows)
+    assert licenses.scan(samples.empty(spark)).count() == 0
+
+
 # 3. Language.
 
 
