@@ -68,6 +68,8 @@ def row_count(spark: SparkSession, relation: str) -> int:
 def append_decisions(decisions: DataFrame, path: str, batch_date: str, batch_id: str,
                      model: str = "") -> None:
     """Append every header decision to the JSON-lines log, in its run's own folder."""
+    if "proposal_outcome" not in decisions.columns:
+        decisions = decisions.withColumn("proposal_outcome", F.lit(None).cast("string"))
     (decisions.withColumns({"batch_date": F.lit(batch_date), "batch_id": F.lit(batch_id),
                             "model": F.lit(model)})
      .select([f.name for f in T._parse_datatype_string(LOG_COLUMNS)])
