@@ -33,6 +33,7 @@ EMBED = 6
 # with the smallest hashes of their ids, and windows of each of these.
 PER_LANG = 500
 PER_DOC = 4
+PARTS = 16
 EPOCHS = 14
 BATCH = 64
 BLOCK = 64  # windows scored at a time
@@ -146,10 +147,14 @@ def train(docs: DataFrame, learn: Column, per_lang: int = PER_LANG) -> Network:
     """Fit on documents with a lang and some text for which `learn` (of doc_id) holds,
     at most per_lang of each language."""
     known = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # The limit on the rank is applied before the shuffle too: no language is gathered.
-    chosen = (known.select("doc_id", "lang").distinct().withColumn("_rank", F.row_number().over(rank))
-              .where(F.col("_rank") <= per_lang).drop("_rank"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    some = known.select("doc_id", "lang").distinct().withColumn("_part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PARTS)))
+    # First the smallest of each part of a language, then of those: a language that
+    # most documents share is ranked in PARTS tasks and at most PARTS * per_lang rows.
+    for keys in (["lang", "_part"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        some = some.withColumn("_rank", rank).where(F.col("_rank") <= per_lang).drop("_rank")
+    chosen = some.select("doc_id", "lang")
     kind = docs.select("doc_id").schema[0].simpleString().replace(":", " ", 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
