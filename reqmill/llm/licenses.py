@@ -9,7 +9,9 @@ longer rules come first and a notice is not reported again as one of its parts.
 
 Sentences end at . ! ? ; : before white space, and at a line's end. A notice may also
 be broken into lines anywhere, so a second sequence is made with line breaks as spaces,
-and rules may match in either. A text without any of the HINTS, one of which is in
+a third with blank lines as ends and other line breaks as spaces, and rules may match in
+any. Numbers of a list are no sentences. "All rights reserved" beside a BSD text belongs
+to that text; beside any other licence it is reported with it. A text without any of the HINTS, one of which is in
 every known sentence, has no known sentence and isn't cut.
 
 Null and empty texts have no sentences and no licence. Rows that repeat an id are
@@ -41,11 +43,27 @@ SENTENCES = {
     "BSDSource": ["redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"],
     "BSDBinary": ["redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
                   "following disclaimer in the documentation and or other materials provided with the distribution"],
+    "BSDEndorse": ["neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                   "products derived from this software without specific prior written permission"],
+    "MITTitle": ["mit license", "the mit license", "the mit license mit"],
+    "ISCPermission": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+                      "granted provided that the above copyright notice and this permission notice appear in all copies"],
     "GPL3Notice": ["this work is licensed under the gnu general public license version 3"],
     "GPL2Notice": ["this work is licensed under the gnu general public license version 2"],
     "GPLMayRedistribute": ["this program is free software you can redistribute it and or modify it under the terms of the gnu "
                            "general public license as published by the free software foundation either version 3 of the license or "
                            "at your option any later version"],
+    "GPLTerms": ["you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+                 "free software foundation"],
+    "GPL3Terms": ["you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+                  "free software foundation either version 3 of the license or at your option any later version"],
+    "LGPLTerms": ["you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+                  "the free software foundation"],
+    "LGPL3Terms": ["you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+                   "the free software foundation either version 3 of the license or at your option any later version"],
+    "Version2OrLater": ["either version 2 of the license or at your option any later version"],
+    "Version21OrLater": ["either version 2.1 of the license or at your option any later version"],
+    "Version3OrLater": ["either version 3 of the license or at your option any later version"],
     "MPL2Notice": ["this source code form is subject to the terms of the mozilla public license v 2.0"],
     "CCBYNC4Notice": ["licensed under cc by nc 4.0"],
     "CCBY4Notice": ["licensed under cc by 4.0"],
@@ -53,16 +71,31 @@ SENTENCES = {
     "UnlicenseNotice": ["this is free and unencumbered software released into the public domain"],
     "AllRights": ["all rights reserved"],
 }
+# Licences that an SPDX line may name; the line is the sentence "spdx license identifier" and the name.
+SPDX = ["Apache-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
+        "GPL-3.0-or-later", "LGPL-2.1-or-later", "LGPL-3.0-or-later", "MPL-2.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC-BY-4.0", "Unlicense"]
+SENTENCES |= {f"SPDX-{x}": ["spdx license identifier " + x.lower().replace("-", " ")] for x in SPDX}
 HINTS = ("licen", "permission", "redistribut", "copyright", "domain", "rights")
 # Licence and sequence of each rule, in the order in which they are tried.
 RULES = [
     ("Apache-2.0", ["Apache2Notice", "ApacheComply", "ApacheCopy", "ApacheNoWarranty", "ApacheLimits"]),
     ("Apache-2.0", ["Apache2Notice", "ApacheComply"]),
     ("MIT", ["MITPermission", "MITCondition"]),
+    ("BSD-3-Clause", ["BSDConditions", "BSDSource", "BSDBinary", "BSDEndorse"]),
     ("BSD-2-Clause", ["BSDConditions", "BSDSource", "BSDBinary"]),
     ("Apache-2.0", ["Apache2Notice"]),
     ("MIT", ["MITNotice"]),
     ("MIT", ["MITPermission"]),
+    ("MIT", ["MITCondition"]),
+    ("MIT", ["MITTitle"]),
+    ("ISC", ["ISCPermission"]),
+    ("GPL-2.0-or-later", ["GPLTerms", "Version2OrLater"]),
+    ("GPL-3.0-or-later", ["GPLTerms", "Version3OrLater"]),
+    ("GPL-3.0-or-later", ["GPL3Terms"]),
+    ("LGPL-2.1-or-later", ["LGPLTerms", "Version21OrLater"]),
+    ("LGPL-3.0-or-later", ["LGPLTerms", "Version3OrLater"]),
+    ("LGPL-3.0-or-later", ["LGPL3Terms"]),
+    *[(x, [f"SPDX-{x}"]) for x in SPDX],
     ("GPL-3.0-or-later", ["GPLMayRedistribute"]),
     ("GPL-3.0", ["GPL3Notice"]),
     ("GPL-2.0", ["GPL2Notice"]),
@@ -73,6 +106,9 @@ RULES = [
     ("Unlicense", ["UnlicenseNotice"]),
     ("Proprietary", ["AllRights"]),
 ]
+# Licences whose own text has a line "All rights reserved".
+RESERVING = ("BSD-2-Clause", "BSD-3-Clause")
+LIST_NUMBER = "^[0-9]{1,2}$"
 SPLIT = r"[.!?;:]+[ \t\r\n]+|[\r\n]+"
 
 
@@ -85,9 +121,10 @@ def normalised(sentence: Column) -> Column:
 
 
 def _sequence(text: Column) -> Column:
-    """<id><?><id>... of a text's sentences; a sentence of white space or marks is none."""
+    """<id><?><id>... of a text's sentences; a sentence of white
+    space or marks or the number of a list is none."""
     known = F.create_map(*[F.lit(x) for name, texts in SENTENCES.items() for t in texts for x in (t, name)])
-    sentences = F.filter(F.transform(F.split(text, SPLIT), normalised), lambda s: s != "")
+    sentences = F.filter(F.transform(F.split(text, SPLIT), normalised), lambda s: (s != "") & ~s.rlike(LIST_NUMBER))
     marks = F.transform(sentences, lambda s: F.concat(F.lit("<"), F.coalesce(F.try_element_at(known, s), F.lit("?")), F.lit(">")))
     return F.regexp_replace(F.array_join(marks, ""), r"(<\?>)+", "<?>")
 
@@ -113,11 +150,23 @@ def scan(docs: DataFrame) -> DataFrame:
     hinted = F.contains(lower, F.lit(HINTS[0]))
     for hint in HINTS[1:]:
         hinted = hinted | F.contains(lower, F.lit(hint))
-    candidate = F.when(hinted, text)
+    # The name on an SPDX line and the holder within the third BSD condition may hold ends of sentences.
+    candidate = F.when(hinted, F.regexp_replace(text, r"(?i)spdx-license-identifier:[ \t]*", "spdx license identifier "))
+    candidate = F.regexp_replace(candidate, r"(?is)neither\s+the\s+names?\s+of\s.{1,200}?\snor\s+the\s+names\s+of\s+(its|their|any)\s+contributors",
+                                 "neither the name of the copyright holder nor the names of its contributors")
+    paragraphs = F.regexp_replace(F.regexp_replace(candidate, r"\r\n?", "\n"), r"\n([ \t]*\n)+", "\r")
+    paragraphs = F.regexp_replace(paragraphs, r"\n", " ")
     flat = F.regexp_replace(candidate, r"[\r\n]+", " ")
     nothing = F.array().cast("array<string>")
-    both = docs.select("doc_id", F.transform(F.array(F.struct(_sequence(candidate).alias("a"), _sequence(flat).alias("b"))), lambda s: F.struct(
-        s["a"].alias("sequence"), F.array_distinct(F.concat(_matched(s["a"]), _matched(s["b"]))).alias("licences")))[0].alias("_s"))
+    ways = F.struct(_sequence(candidate).alias("a"), _sequence(flat).alias("b"), _sequence(paragraphs).alias("c"))
+
+    def found(s: Column) -> Column:
+        licences = F.array_distinct(F.concat(_matched(s["a"]), _matched(s["b"]), _matched(s["c"])))
+        return F.transform(F.array(licences), lambda x: F.when(
+            F.arrays_overlap(x, F.array(*map(F.lit, RESERVING))), F.array_remove(x, "Proprietary")).otherwise(x))[0]
+
+    both = docs.select("doc_id", F.transform(F.array(ways), lambda s: F.struct(
+        s["a"].alias("sequence"), found(s).alias("licences")))[0].alias("_s"))
     ids = F.filter(F.split(F.regexp_replace("_s.sequence", "[<>?]+", " "), " "), lambda x: x != "")
     return both.select("doc_id", F.coalesce("_s.sequence", F.lit("")).alias("sequence"), F.coalesce(ids, nothing).alias("identifiers"),
                        F.coalesce("_s.licences", nothing).alias("licences"))

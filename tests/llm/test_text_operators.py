@@ -92,6 +92,62 @@ def test_licence_sentences_and_rules(spark):
     assert rows[1].sequence == "<?><MITNotice><?>" and rows[3].identifiers == ["AllRights", "CCBYNC4Notice"]
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+BSD2 = """Copyright (c) 2020, Some Body
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+"""
+ENDORSE = """3. Neither the name of {} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+"""
+AS_IS = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"'
+GPL2 = """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU {}General Public License
+as published by the Free Software Foundation{} either version {}
+of the License, or (at your option) any later version."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+
+
+def test_whole_licence_files(spark):
+    cases = [(MIT, "MIT"), (MIT.split("\n\n", 1)[1], "MIT"), (MIT.replace("\n", "\r\n"), "MIT"), (BSD2 + AS_IS, "BSD-2-Clause"),
+             (BSD2.replace("All rights reserved.\n", "") + AS_IS, "BSD-2-Clause"),
+             (BSD2 + ENDORSE.format("the copyright holder") + AS_IS, "BSD-3-Clause"), (BSD2 + ENDORSE.format("Some Company, Inc.") + AS_IS, "BSD-3-Clause"),
+             (GPL2.format("", ";", "2"), "GPL-2.0-or-later"), (GPL2.format("", ",", "3"), "GPL-3.0-or-later"),
+             (GPL2.format("Lesser ", ";", "2.1"), "LGPL-2.1-or-later"), (GPL2.format("Lesser ", ",", "3"), "LGPL-3.0-or-later"),
+             ("Copyright (c) Some Body\n\n" + ISC, "ISC"), ("// SPDX-License-Identifier: BSD-3-Clause\nint x;", "BSD-3-Clause"),
+             ("# SPDX-License-Identifier: Apache-2.0\n", "Apache-2.0")]
+    rows = licenses.scan(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.licences for r in rows} == {i: [x] for i, (_, x) in enumerate(cases)}
+
+
 def test_licence_tables():
     texts = [t for ts in licenses.SENTENCES.values() for t in ts]
     assert len(set(texts)) == len(texts) and all(any(h in t for h in licenses.HINTS) for t in texts)
