@@ -23,7 +23,7 @@ component's id while the component has another. Rows that repeat an id each get
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,19 +39,25 @@ SEED = 42
 BLOCK = 16_384  # shingles counted at a time
 
 
-def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
-    """Signed, as Spark's long."""
+def hashes(words: list[bytes], shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of the shingles, in blocks; all words are one shingle if they are fewer."""
     import xxhash
 
+    hashed = xxhash.xxh64_intdigest
+    for at in range(0, max(1, len(words) - shingle + 1) if words else 0, BLOCK):
+        block = words[at:at + BLOCK + shingle - 1]
+        parts = zip(*(block[i:] for i in range(shingle))) if len(words) >= shingle else [block]
+        yield np.array([hashed(b" ".join(x), SEED) for x in parts], "<u8")
+
+
+def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
+    """Signed, as Spark's long."""
     words = (text or b"").lower().split()
     if not words:
         return 0
-    counts, n, hashed = np.zeros(64, np.int64), max(1, len(words) - shingle + 1), xxhash.xxh64_intdigest
-    for at in range(0, n, BLOCK):
-        block = words[at:at + BLOCK + shingle - 1]
-        parts = zip(*(block[i:] for i in range(shingle))) if len(words) >= shingle else [block]
-        hashes = np.array([hashed(b" ".join(x), SEED) for x in parts], "<u8")
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    counts, n = np.zeros(64, np.int64), max(1, len(words) - shingle + 1)
+    for block in hashes(words, shingle):
+        counts += np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * counts > n, bitorder="little").view("<i8")[0])
 
 
@@ -94,17 +100,22 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, keep: tuple[str, ...] = ("do
     (its smallest doc_id) of every row."""
     prints = stored(fingerprints(docs, shingle, keep), "fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    roots = components(links(nodes.select("fp")))
-    labelled = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return prints.join(labelled.join(least, "root").select("fp", "root", "component_id"), "fp")
+    return labelled(prints, nodes, links(nodes.select("fp")))
+
+
+def labelled(prints: DataFrame, nodes: DataFrame, linked: DataFrame) -> DataFrame:
+    """prints with the root and component_id of each fp among nodes (fp, doc_id)."""
+    roots = components(linked).withColumnRenamed("node", "fp")
+    named = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return prints.join(named.join(least, "root").select("fp", "root", "component_id"), "fp")
 
 
-def representatives(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def representatives(docs: DataFrame, shingle: int = SHINGLE, grouping: Callable[..., DataFrame] = groups) -> DataFrame:
     """One row of each group, with all its columns: one with the smallest doc_id, and
     among rows that repeat that id one with the smallest hash of its text."""
     key = F.xxhash64("text")
-    grouped = groups(docs.select("doc_id", "text", key.alias("_key")), shingle, ("doc_id", "_key"))
+    grouped = grouping(docs.select("doc_id", "text", key.alias("_key")), shingle, ("doc_id", "_key"))
     chosen = stored(grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
                     .groupBy("root", "doc_id", "_key").agg(F.count("*").alias("_n"))
                     .groupBy("root").agg(F.min(F.struct("_key", "doc_id", "_n")).alias("_c")).select("_c.*"), "chosen")
