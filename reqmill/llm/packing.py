@@ -61,7 +61,6 @@ class WordIds(dict):
 
         super().__init__()
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
         # The file's letter for each byte: printable ones stand for themselves, the
         # others follow from U+0100 on.
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -85,7 +84,7 @@ class WordIds(dict):
         if len(self) >= MEMO:
             self.clear()
         word = raw.decode()
-        if UNUSUAL.search(word):
+        if "<|" in word or UNUSUAL.search(word):  # special tokens start with <|
             found = array("I", self.whole.encode(word, add_special_tokens=False).ids).tobytes()
         else:
             rank_id, merge = self.id, self.merge

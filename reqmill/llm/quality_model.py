@@ -115,11 +115,15 @@ def _summed(rows: DataFrame, make) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({"v": pa.array([total.astype("<f8").tobytes()], pa.binary())})
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [np.frombuffer(v, "<f8") for b in batches for v in b.column("v").to_pylist()]
-        if parts:
-            yield pa.RecordBatch.from_pydict({"v": pa.array([functools.reduce(operator.add, parts).tobytes()], pa.binary())})
+        total = None
+        for batch in batches:
+            for v in batch.column("v").to_pylist():
+                part = np.frombuffer(v, "<f8")
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_pydict({"v": pa.array([total.tobytes()], pa.binary())})
 
-    # One vector per partition, folded to 16 before the driver adds them.
+    # One vector per partition; added as they arrive to 16, which the driver adds.
     sums = rows.select("stats", "label").mapInArrow(run, "v binary").repartition(16).mapInArrow(fold, "v binary").collect()
     return functools.reduce(operator.add, [np.frombuffer(r.v, "<f8") for r in sums]) if sums else np.zeros(0)
 
@@ -162,9 +166,9 @@ def labelled(stats: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model | float:
-    """Fit on the labelled ones among docs; texts without a label are not measured."""
-    chosen = docs.join(labels.where(learn & F.col("quality").isNotNull()).select("doc_id"), "doc_id", "left_semi")
-    return fit(stored(labelled(measured(chosen), labels, learn), "training"))
+    """Fit on the labelled ones among docs. Texts are measured where they lie; labels are
+    joined to the measurements."""
+    return fit(stored(labelled(measured(docs), labels, learn), "training"))
 
 
 def score(stats: DataFrame, model: Model | float) -> DataFrame:

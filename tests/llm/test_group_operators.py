@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from llm import samples
-from reqmill.llm import components, near_copies, nearest, packing, queries, simhash
+from reqmill.llm import components, nearest, packing, queries, simhash
 
 SF = "/root/testdata/sf0.001"
 
@@ -103,53 +103,6 @@ def test_one_row_stays_of_each_group(spark):
     assert sorted((r.doc_id or 0, r.text) for r in simhash.representatives(twice).collect()) == [(0, "q"), (1, "other text"), (1, "x y z")]
 
 
-# The pipeline's near copies.
-
-
-def shingles_by_hand(text):
-    words = (text or "").encode().lower().split()
-    return {b" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def similar_by_hand(texts):
-    sets = [shingles_by_hand(t) for t in texts]
-    return [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[i + 1:], i + 1) if a == b or 5 * len(a & b) >= 4 * len(a | b)]
-
-
-def edited_copies(n, seed=9):
-    """Texts, and copies of them with one to four words in a hundred replaced, some of copies."""
-    rng = random.Random(seed)
-    texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(rng.randint(100, 300))) for _ in range(n)]
-    for k in range(3 * n):
-        words = rng.choice(texts).split()
-        for _ in range(rng.randint(1, 4) * len(words) // 100):
-            words[rng.randrange(len(words))] = f"n{k}"
-        texts.append(" ".join(words))
-    return texts
-
-
-def test_edited_copies_leave_one_row(spark):
-    texts = edited_copies(30)
-    prints = [print_by_hand(t) for t in texts]
-    pairs = similar_by_hand(texts)
-    assert sum((prints[a] ^ prints[b]).bit_count() > 2 for a, b in pairs) > len(pairs) / 2  # what fingerprints lose
-    roots = roots_by_hand(pairs, range(len(texts)))
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    rows = near_copies.groups(docs).collect()
-    assert {r.doc_id: r.component_id for r in rows} == roots
-    assert sorted(r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, SF).collect()) == sorted(set(roots.values()))
-
-
-def test_near_copies_of_odd_rows(spark):
-    docs = samples.odd(spark)
-    rows = near_copies.groups(docs).collect()
-    assert len(rows) == len(samples.ODD)
-    by = {r.doc_id: r.component_id for r in rows if r.doc_id}
-    assert [by[i] for i in (1, 2, 3, 4, 7, 8, 9)] == [1, 1, 1, 4, 7, 7, 7]
-    assert near_copies.representatives(docs).count() == len({r.root for r in rows})
-    assert near_copies.groups(samples.empty(spark)).count() == 0
-
-
 # 7. Packing.
 
 
@@ -208,9 +161,8 @@ def test_packing_query(spark):
 
 def test_words_equal_the_tokenizer():
     whole = Tokenizer.from_file(queries.WORD_BPE)
-    whole.encode_special_tokens = True
     words, rng = packing.WordIds(queries.WORD_BPE), random.Random(8)
-    pieces = ["ab", "Hello", " ", "1", "É", "\n", "'s", "-", "\x1c", "\x85", "²", "ß", "Σ", "́", "\xa0", "'LL", "µ", "<|endoftext|>", "\x00", "İ", "字"]
+    pieces = ["ab", "Hello", " ", "1", "É", "\n", "'s", "-", "\x1c", "\x85", "²", "ß", "Σ", "́", "\xa0", "'LL", "µ", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "\x00", "İ", "字"]
     for _ in range(2000):
         text = "".join(rng.choice(pieces) for _ in range(9))
         ids = b"".join(map(words.__getitem__, text.encode().split()))
@@ -312,3 +264,9 @@ def test_pipeline_on_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+def test_quality_without_labels_keeps_all(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").where("1 = 0").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.good_quality(spark, docs, str(tmp_path)).count() == docs.count()
