@@ -83,4 +83,64 @@ select doc_id, coalesce(ids.n, 0)::bigint as n_sentences, coalesce(ids.ids, '')
 from d left join ids using (rid) left join licences using (rid)"""
 
 
-ORACLES: dict[str, str] = {"op2_licenses": _licenses(), "op4_quality_rules": QUALITY_RULES, "op6_sharding": SHARDING}
+# Every pair of an anchor and a row, in exact integers.
+HARD_NEGATIVES = """
+with r as (
+  select distinct vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label::bigint end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)::hugeint) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+  select a.vec_id as anchor_id, a.label as anchor_label, b.vec_id, b.label,
+         coalesce(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])), 0)::bigint as score
+  from r a join r b on len(a.v) = len(b.v)
+  where a.vec_id % 100 = 0),
+pos as (
+  select anchor_id, anchor_label, vec_id as positive_id, score as positive_score
+  from pairs where vec_id <> anchor_id and label = anchor_label
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+neg as (
+  select pos.anchor_id, positive_id, positive_score, vec_id as negative_id, score as negative_score,
+         row_number() over (partition by pos.anchor_id, positive_id order by score desc, vec_id) as rank
+  from pos join pairs on pairs.anchor_id = pos.anchor_id and label <> pos.anchor_label
+   and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from neg where rank <= 5
+"""
+
+_SENTENCE = "[.,;:!?\x0A-\x0D]"
+
+# Phrases of each length counted apart, cuts and containments joined.
+COLLOCATIONS = rf"""
+with d as (
+  select coalesce(lang, 'und') as lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+  from documents),
+p as (select lang, unnest(regexp_split_to_array(text, '{_SENTENCE}')) as piece from d),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from p),
+grams as (
+  select lang, m, array_to_string(words[i:i + m - 1], ' ') as phrase
+  from (select lang, words, m, unnest(range(1, len(words) - m + 2)) as i from w, range(1, 6) as r(m) where len(words) >= m)),
+f as (select lang, m, phrase, count(*) as f from grams group by lang, m, phrase having count(*) >= 100),
+n as (select lang, sum(len(words))::bigint as n from w group by lang),
+c as (select lang, m, phrase, f as a, string_split(phrase, ' ') as words from f where m >= 2),
+cuts as (
+  select c.lang, c.phrase, c.m, a, n, k, x.f as l, y.f as r, ((1000::hugeint * a * n) // (x.f::hugeint * y.f))::bigint as score
+  from (select *, unnest(range(1, m)) as k from c) c join n on n.lang = c.lang
+  join f x on x.lang = c.lang and x.phrase = array_to_string(words[1:k], ' ')
+  join f y on y.lang = c.lang and y.phrase = array_to_string(words[k + 1:], ' ')),
+inner_phrases as (
+  select lang, array_to_string(words[i:i + size - 1], ' ') as phrase, max(a) as longer
+  from (select lang, words, a, size, unnest(range(1, m - size + 2)) as i
+        from (select *, unnest(range(2, m)) as size from c where m > 2)) group by all),
+best as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1)
+select b.lang, row_number() over (partition by b.lang order by score desc, a desc, b.phrase)::int as rank, b.phrase, a, l, r, n, score
+from best b left join inner_phrases i on i.lang = b.lang and i.phrase = b.phrase
+where longer is null or 100 * longer < 100 * a
+qualify row_number() over (partition by b.lang order by score desc, a desc, b.phrase) <= 2000
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op2_licenses": _licenses(), "op4_quality_rules": QUALITY_RULES, "op6_sharding": SHARDING,
+    "op11_hard_negatives": HARD_NEGATIVES, "op13_collocations": COLLOCATIONS}

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqmill.llm import byte_bpe, language, licenses, nearest, packing, quality_model, quality_rules, sharding, simhash, toxicity
+from reqmill.llm import (byte_bpe, collocations, credentials, language, licenses, nearest, negatives, packing, quality_model, quality_rules,
+                         sharding, simhash, toxicity)
 from reqmill.llm import oracles
 from reqmill.llm.base import remainder, stored, table
 
@@ -88,6 +89,23 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector's positives, against all vectors."""
+    id_of, label = F.col("vec_id"), F.col("label")
+    rows = stored(negatives.members(table(spark, sf_dir, "embeddings"), id_of % 7 == 0, (label + 1) % 10), "members")
+    return negatives.mine(rows, id_of % 100 == 0)
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets: the base patterns and values that are hard to guess."""
+    return credentials.secrets(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_licenses": op2_licenses,
@@ -99,5 +117,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_model": op9_quality_model,
     "op10_nearest": op10_nearest,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_secrets": op12_secrets,
+    "op13_collocations": op13_collocations,
 }
 ORACLES: dict[str, str] = oracles.ORACLES
