@@ -9,12 +9,14 @@ starts a window wherever it occurs. Phrases of all lengths come from one aggrega
 and the words of a text are never exploded into n-grams.
 
 Windows of prose are nearly all different, but hardly any of them can hold a phrase of
-`least` occurrences. Adjacent pairs are therefore counted first, by a hash into a fixed
-number of buckets. A pair in a bucket of fewer than `least` occurs less often than that,
-and so does every phrase that holds it: windows are padded from such a pair on. Buckets
-only ever count too much, so no phrase is lost, and counts of the phrases that remain
-are exact. In corpora of far more than `least` pairs a bucket the buckets fill up and
-pad less; the result stays the same and more windows are shuffled.
+`least` occurrences. Words and adjacent pairs are therefore counted first, by a hash into
+a fixed number of buckets, then triples of such pairs. What is in a bucket of fewer than
+`least` occurs less often than that, and so does every phrase that holds it: windows are
+padded from such a word, pair or triple on, from their first word on if need be, when
+they only count towards the number of words. Buckets only ever count too much, so no
+phrase is lost, and counts of the phrases that remain are exact. In corpora of far more
+than `least` pairs a bucket the buckets fill up and pad less; the result stays the same
+and more windows are shuffled.
 
 Everything is per language; a null one is `und`, and joins texts that say so. Null and
 empty texts have no words. Bytes A-Z are lower-cased and no others. Rows that repeat an
@@ -40,14 +42,15 @@ LEAST = 100  # occurrences of a candidate
 TOP = 2000  # phrases reported for each language
 SCALE = 1000  # of a score
 COVERED = 100  # a longer phrase covers its parts that occur at most 100 / COVERED times as often
-BUCKETS = 1 << 24  # of pairs; the ones that are full are broadcast as one bit each, 2 MB
-HELD_WORDS = 1 << 20  # counted at a time in a task
+BUCKETS = 1 << 24  # of runs of each size; which ones are full is broadcast, one bit each, 2 MB
+PASSES = ((1, 2), (3,))  # sizes of the runs that are counted in each reading of the texts
+HELD_WORDS = 1 << 18  # counted at a time in a task
 SALTS = 32  # parts in which the phrases of a language are ranked first
 UND = "und"
 
 # The characters that part pieces, and those that part words.
 _BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b"." * 10)
-_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 LEADS = [f"w{i + 1}" for i in range(ORDER)]
 
 
@@ -69,16 +72,45 @@ class Held:
         self.lang = np.repeat(lang_codes, sizes)
         self.is_word = self.codes != self.words.index(b".")
 
-    def pairs(self, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions whose token and next one are both words, and each pair's bucket."""
+        self.at = np.flatnonzero(self.is_word)  # where windows start
+        self._hash: np.ndarray | None = None
+
+    def follower(self, k: int) -> np.ndarray:
+        """Places k tokens on, or at the end."""
+        return np.minimum(self.at + k, len(self.codes) - 1)
+
+    def buckets(self, size: int, some: np.ndarray, n_buckets: int) -> np.ndarray:
+        """Buckets of the runs of `size` words from these window starts on."""
         import xxhash
 
-        at = np.flatnonzero(self.is_word[:-1] & self.is_word[1:])
-        word = np.array([xxhash.xxh64_intdigest(w) for w in self.words], np.uint64)[self.codes]
-        lang = np.array([xxhash.xxh64_intdigest(x, 1) for x in self.langs], np.uint64)[self.lang]
-        mixed = (word[at] ^ lang[at]) * _MIX[0] + word[at + 1] * _MIX[1]
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * _MIX[2]
-        return at, (mixed >> np.uint64(64 - n_buckets.bit_length() + 1)).astype(np.int64)
+        if self._hash is None:
+            self._hash = np.array([xxhash.xxh64_intdigest(w) for w in self.words], np.uint64)[self.codes]
+            self._hash_lang = np.array([xxhash.xxh64_intdigest(x, 1) for x in self.langs], np.uint64)[self.lang]
+        at = self.at[some]
+        mixed = self._hash_lang[at] + np.uint64(size)
+        for k in range(size):
+            mixed = (mixed ^ self._hash[at + k]) * _MIX[0]
+            mixed ^= mixed >> np.uint64(32)
+        return ((mixed * _MIX[1]) >> np.uint64(64 - n_buckets.bit_length() + 1)).astype(np.int64)
+
+    def runs(self, full: list[np.ndarray], n_buckets: int) -> list[np.ndarray]:
+        """For each number of words from 1 to ORDER: whether the window starts have that
+        many that can be a phrase. `full` are the buckets of words, of pairs and so on, as
+        far as they are known; a longer run can be one if its beginning and its end can."""
+        out: list[np.ndarray] = []
+        place = np.full(len(self.codes) + 1, -1)
+        place[self.at] = np.arange(len(self.at))
+        after = place[self.follower(1)]  # the window start that comes next, if the next token is a word
+        for size in range(1, ORDER + 1):
+            goes = np.ones(len(self.at), bool)
+            if size > 1:
+                goes = out[-1] & (after >= 0) & (self.at + 1 < len(self.codes)) & out[-1][after]
+            if size <= len(full):
+                some, bits = np.flatnonzero(goes), full[size - 1]
+                bucket = self.buckets(size, some, n_buckets)
+                goes[some] = (bits[bucket >> 3] >> (bucket & 7).astype(np.uint8)) & 1
+            out.append(goes)
+        return out
 
 
 def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[Held]:
@@ -102,48 +134,48 @@ def _read(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit(UND)).cast("binary").alias("lang"), F.col("text").cast("binary").alias("text"))
 
 
-def full_buckets(docs: DataFrame, least: int, n_buckets: int = BUCKETS) -> np.ndarray:
-    """A bit for each bucket: whether its pairs occur `least` times or more."""
+def full_buckets(docs: DataFrame, least: int, sizes: tuple[int, ...], known: list[np.ndarray],
+                 n_buckets: int = BUCKETS) -> list[np.ndarray]:
+    """For each of the sizes, a bit for each bucket: whether its runs occur `least` times or
+    more. known are the bits of shorter runs; runs that these rule out are not counted."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(n_buckets, np.uint32)
+        kind = np.uint16 if least < 1 << 16 else np.int64
+        counts = {size: np.zeros(n_buckets, kind) for size in sizes}  # up to `least`
         for held in _held(batches):
-            found, n = np.unique(held.pairs(n_buckets)[1], return_counts=True)
-            counts[found] += n.astype(np.uint32)
-        some = np.flatnonzero(counts)
-        for at in range(0, len(some), 1 << 16):
-            part = some[at:at + (1 << 16)]
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array(part.astype(np.int32)),
-                                              "n": pa.array(np.minimum(counts[part], least).astype(np.int32))})
-
-    full = (_read(docs).mapInArrow(run, "bucket int, n int").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+            runs = held.runs(shared.value, n_buckets)
+            for size in sizes:
+                found, n = np.unique(held.buckets(size, np.flatnonzero(runs[size - 1]), n_buckets), return_counts=True)
+                counts[size][found] = np.minimum(counts[size][found] + n, least)
+        for size in sizes:
+            some = np.flatnonzero(counts[size])
+            for at in range(0, len(some), 1 << 16):
+                part = some[at:at + (1 << 16)]
+                yield pa.RecordBatch.from_pydict({"bucket": pa.array(part + size * n_buckets), "n": pa.array(counts[size][part].astype(np.int64))})
+
+    full = (_read(docs).mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
             .groupBy(F.bitmap_bucket_number("bucket").alias("part"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bucket")).alias("bits")))
-    bits = np.zeros(n_buckets // 8, np.uint8)
-    for row in full.toLocalIterator():  # 2 MB in all, however many rows there are
-        # Part k, from 1 on, has buckets 32,768 (k - 1) + 1 to 32,768 k; bucket 0 is in part 0.
-        part = np.unpackbits(np.frombuffer(row.bits, np.uint8), bitorder="little")
-        first = 32_768 * (row.part - 1) + 1 if row.part > 0 else 0
-        own = first + np.flatnonzero(part) if row.part > 0 else np.flatnonzero(part[:1])
-        own = own[own < n_buckets]
-        np.bitwise_or.at(bits, own >> 3, (1 << (own & 7)).astype(np.uint8))
-    return bits
-
-
-def windows(docs: DataFrame, full: np.ndarray) -> DataFrame:
+    bits = {size: np.zeros(n_buckets // 8, np.uint8) for size in sizes}
+    for row in full.toLocalIterator():  # 2 MB for each size, however many rows there are
+        # Part k has the numbers from 32,768 (k - 1) + 1 to 32,768 k; none is 0.
+        found = 32_768 * (row.part - 1) + 1 + np.flatnonzero(np.unpackbits(np.frombuffer(row.bits, np.uint8), bitorder="little"))
+        for size in sizes:
+            own = found[found // n_buckets == size] % n_buckets
+            np.bitwise_or.at(bits[size], own >> 3, (1 << (own & 7)).astype(np.uint8))
+    return list(bits.values())
+
+
+def windows(docs: DataFrame, full: list[np.ndarray], n_buckets: int = BUCKETS) -> DataFrame:
     """(lang, w1 .. w5, n): the padded longest windows, counted within a task; "" pads."""
     shared = docs.sparkSession.sparkContext.broadcast(full)
 
     def counted(held: Held) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        at, bucket = held.pairs(8 * len(bits))
-        goes_on = np.zeros(len(held.codes), bool)
-        goes_on[at] = (bits[bucket >> 3] >> (bucket & 7).astype(np.uint8)) & 1
-        start = np.flatnonzero(held.is_word)
-        pad, alive = len(held.words), np.ones(len(start), bool)
-        columns = {"lang": held.lang[start], LEADS[0]: held.codes[start]}
-        for k in range(1, ORDER):
-            alive = alive & goes_on[np.minimum(start + k - 1, len(held.codes) - 1)]
-            columns[LEADS[k]] = np.where(alive, held.codes[np.minimum(start + k, len(held.codes) - 1)], pad)
+        pad = len(held.words)
+        columns = {"lang": held.lang[held.at]}
+        for k, goes in enumerate(held.runs(shared.value, n_buckets)):
+            columns[LEADS[k]] = np.where(goes, held.codes[held.follower(k)], pad)
         sizes = pd.DataFrame(columns).groupby(list(columns), sort=False).size()
         index = sizes.index.to_frame(index=False)
         texts, langs = pa.array([*held.words, b""], pa.binary()), pa.array(held.langs, pa.binary())
@@ -163,7 +195,10 @@ def windows(docs: DataFrame, full: np.ndarray) -> DataFrame:
 def phrases(docs: DataFrame, least: int = LEAST, n_buckets: int = BUCKETS) -> DataFrame:
     """(lang, length, phrase, f) of every phrase of up to ORDER words that occurs `least`
     times or more, and for each lang one row of length 0 with the number of its words."""
-    counted = windows(docs, full_buckets(docs, least, n_buckets))
+    full: list[np.ndarray] = []
+    for sizes in PASSES:
+        full += full_buckets(docs, least, sizes, full, n_buckets)
+    counted = windows(docs, full, n_buckets).groupBy("lang", *LEADS).agg(F.sum("n").alias("n"))
     rolled = counted.rollup("lang", *LEADS).agg(F.sum("n").alias("f"), F.grouping_id().alias("_set"))
     # A prefix of k words leaves the last ORDER - k bits set; lang's own bit is above.
     length = F.lit(ORDER) - F.bit_count(F.col("_set"))
