@@ -1,8 +1,10 @@
 """Data-quality checks. Each one has failing rows; their number decides.
 
-Checks that look at one row at a time are counted together, one pass per table,
-however many there are. The others (unique, accepted values, relationships,
-reconciliation) are one aggregate each.
+All checks on a table but uniqueness and reconciliation come from one fold of it: rows are
+counted by the few values that matter as values (those outside a list, those in the
+future, keys of a parent), with a count for each rule that looks at one row. Folds of
+parts of a table add up to the fold of the whole, so a run can keep them and fold only
+what it changed.
 """
 
 from __future__ import annotations
@@ -68,10 +70,11 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, field: str)
     return keys.join(parent.select(F.col(field).alias("from_field")), "from_field", "left_anti")
 
 
-def reconcile(fact: DataFrame, mart: DataFrame) -> DataFrame:
-    """Fact rows and rows the mart accounts for, if they differ."""
+def reconcile(fact: DataFrame, mart: DataFrame, rows: Column | None = None) -> DataFrame:
+    """Fact rows and rows the mart accounts for, if they differ. `rows` counts the fact's
+    rows where it is given as counts."""
     accounted = mart.agg(F.sum("requests_opened").alias("agg_rows"))
-    return (fact.agg(F.count("*").alias("fact_rows"))
+    return (fact.agg((F.count("*") if rows is None else F.coalesce(rows, F.lit(0))).alias("fact_rows"))
             .withColumn("agg_rows", accounted.scalar())
             .where(F.col("fact_rows") != F.col("agg_rows")))
 
@@ -93,6 +96,9 @@ class Check:
     bad: Column | None = None                              # row by row
     rows: Callable[[Tables], DataFrame] | None = None      # failing rows of the whole table
     weight: str | None = None                              # rows a failing row stands for
+    allowed: Sequence[str] | None = None                   # accepted values
+    parent: str | None = None                              # table whose column of that name has the keys
+    once: bool = False                                     # any number of bad rows is one failure
     name: str = ""
 
     @property
@@ -118,13 +124,14 @@ def standard_checks(now: Column, models: Mapping[str, str] | None = None) -> lis
 
     def values(model, column, allowed, severity="error"):
         return [Check("accepted_values", m[model], column, severity,
+                      allowed=allowed,
                       rows=lambda t: accepted_values(t[m[model]], column, allowed))]
 
     def distinct(model, column):
         return [Check("unique", m[model], column, rows=lambda t: unique(t[m[model]], column))]
 
     def parent(model, column):
-        return [Check("relationships", m[model], column, weight="n_records",
+        return [Check("relationships", m[model], column, weight="n_records", parent=m["dim"],
                       rows=lambda t: relationships(t[m[model]], column, t[m["dim"]], column))]
 
     return [
@@ -148,7 +155,7 @@ def standard_checks(now: Column, models: Mapping[str, str] | None = None) -> lis
               rows=lambda t: reconcile(t[m["fact"]], t[m["daily"]])),
         Check("singular", m["fact"], name="assert_closed_after_created", bad=unflagged_anomaly()),
         Check("singular", m["fact"], name="assert_timestamp_anomaly_rate", severity="warn",
-              rows=lambda t: anomaly_rate(t[m["fact"]])),
+              bad=F.col("has_invalid_timestamps"), once=True, rows=lambda t: anomaly_rate(t[m["fact"]])),
     ]
 
 
@@ -161,18 +168,94 @@ def _labels(check: Check) -> list[Column]:
             F.lit(check.model).alias("model"), F.lit(check.severity).alias("severity")]
 
 
-def run_checks(checks: Sequence[Check], tables: Tables) -> DataFrame:
-    """One row per check: failures and status (pass, warn, fail)."""
+# --- folds ----------------------------------------------------------------
+
+def _value(check: Check) -> tuple[str, Column] | None:
+    """The column of a fold that holds the values a check needs, and null for all others."""
+    column = F.col(check.column) if check.column else None
+    if check.kind == "not_in_future":
+        return f"future_{check.column}", F.when(check.bad, column)
+    if check.allowed is not None:
+        return f"other_{check.column}", F.when(~column.isin(list(check.allowed)), column)
+    if check.parent is not None:
+        return f"key_{check.column}", column
+    return None
+
+
+def _of(checks: Sequence[Check], model: str) -> tuple[list[Check], list[Check]]:
+    """A table's checks that go by a value, and those that are a rule of one row."""
+    mine = [c for c in checks if c.model == model]
+    return [c for c in mine if _value(c)], [c for c in mine if c.bad is not None and not _value(c)]
+
+
+def fold(checks: Sequence[Check], model: str, table: DataFrame, *by: str) -> DataFrame:
+    """The table as counts, all that its checks need but for unique and singular rows.
+    Few groups, as long as few rows are bad; more bad values are more rows, in any
+    number of tasks."""
+    by_value, by_row = _of(checks, model)
+    return table.groupBy(*by, *[v[1].alias(v[0]) for v in map(_value, by_value)]).agg(
+        F.count("*").alias("n"), *[F.count_if(c.bad).alias(c.test) for c in by_row])
+
+
+def add_up(folds: DataFrame) -> DataFrame:
+    """One fold of the folds of parts."""
+    values = [c for c in folds.columns if c.startswith(("future_", "other_", "key_"))]
+    counts = [c for c in folds.columns if c not in values and not c.startswith("_")]
+    return folds.groupBy(*values).agg(*[F.sum(c).alias(c) for c in counts])
+
+
+def _failed(check: Check, rows: Column) -> Column:
+    rows = F.coalesce(rows, F.lit(0)).cast("bigint")
+    return (F.least(rows, F.lit(1).cast("bigint")) if check.once else rows).alias("failures")
+
+
+def _from_fold(checks: Sequence[Check], model: str, folded: DataFrame, tables: Tables, now: Column | None) -> list[DataFrame]:
+    by_value, by_row = _of(checks, model)
+    if not by_value:  # one row
+        return [folded.select(F.inline(F.array(*[F.struct(*_labels(c), _failed(c, F.col(f"`{c.test}`"))) for c in by_row])))]
+    measures = [(c, F.coalesce(F.sum(F.col(f"`{c.test}`")), F.lit(0))) for c in by_row]
+    for c in by_value:
+        value = F.col(_value(c)[0])
+        if c.kind == "not_in_future":
+            # What was in the future when it was folded may be no more.
+            still = value.isNotNull() if now is None else value > hours_later(now, 24)
+            measures.append((c, F.coalesce(F.sum(F.when(still, F.col("n"))), F.lit(0))))
+    out = []
+    if measures:
+        totals = folded.agg(*[m.alias(f"m{i}") for i, (_, m) in enumerate(measures)])
+        out.append(totals.select(F.inline(F.array(*[
+            F.struct(*_labels(c), _failed(c, F.col(f"m{i}"))) for i, (c, _) in enumerate(measures)]))))
+    for c in by_value:
+        name = _value(c)[0]
+        if c.allowed is not None:
+            out.append(folded.where(F.col(name).isNotNull()).select(name).distinct().agg(F.count("*").alias("failures"))
+                       .select(*_labels(c), "failures"))
+        elif c.parent is not None:
+            keys = folded.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("key")).agg(F.sum("n").alias("n"))
+            orphans = keys.join(tables[c.parent].select(F.col(c.column).alias("key")), "key", "left_anti")
+            out.append(orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures")).select(*_labels(c), "failures"))
+    return out
+
+
+def run_checks(checks: Sequence[Check], tables: Tables, folds: Mapping[str, DataFrame] | None = None,
+               failing: Mapping[str, DataFrame] | None = None, now: Column | None = None) -> DataFrame:
+    """One row per check: failures and status (pass, warn, fail).
+
+    folds are those of tables whose parts were folded before, failing the failing rows of
+    checks that are known; other tables are folded and looked through here. `now` is the
+    moment that kept folds are judged by.
+    """
+    folds, failing = folds or {}, failing or {}
     parts = []
-    for model in dict.fromkeys(c.model for c in checks if c.bad is not None):
-        mine = [c for c in checks if c.bad is not None and c.model == model]
-        counts = tables[model].agg(*[F.count_if(c.bad).alias(f"c{i}") for i, c in enumerate(mine)])
-        parts.append(counts.select(F.inline(F.array(*[
-            F.struct(*_labels(c), F.col(f"c{i}").alias("failures")) for i, c in enumerate(mine)]))))
+    for model in dict.fromkeys(c.model for c in checks):
+        if any(_of(checks, model)):
+            folded = add_up(folds[model]) if model in folds else fold(checks, model, tables[model])
+            parts += _from_fold(checks, model, folded, tables, now)
     for c in checks:
-        if c.rows is not None:
+        if c.bad is None and not _value(c):
             total = F.count("*") if c.weight is None else F.coalesce(F.sum(c.weight), F.lit(0))
-            parts.append(c.rows(tables).agg(total.alias("failures")).select(*_labels(c), "failures"))
+            rows = failing[c.test] if c.test in failing else c.rows(tables)
+            parts.append(rows.agg(total.alias("failures")).select(*_labels(c), "failures"))
     results = reduce(DataFrame.unionByName, parts)
     return results.withColumn(
         "status", F.when(F.col("failures") == 0, "pass")

@@ -27,6 +27,29 @@ def apply_mapping(df: DataFrame, columns: Mapping[str, str], source_system: str,
     return df.select(*fields, *lineage)
 
 
+def land_lines(lines: DataFrame, headers: DataFrame, decisions: DataFrame, batch_date: str, batch_id: str,
+               ingested_at: str | None = None) -> DataFrame:
+    """Canonical rows of all systems' lines (read_day), by the header of each line's own
+    file (file_headers) and the decided columns.
+
+    Which cell is which field is a small table with a row for each file, joined to the
+    lines: neither the plan nor the driver grows with the number of systems. Of a column
+    that a file repeats, the first counts.
+    """
+    stamp = ingested_at or dt.datetime.now(dt.timezone.utc).isoformat(timespec="seconds")
+    columns = (headers.select("source_system", "file", F.posexplode("header").alias("at", "source_column"))
+               .groupBy("source_system", "file", "source_column").agg(F.min("at").alias("at")))
+    decided = decisions.where(F.col("canonical_field").isNotNull()).select("source_system", "source_column", "canonical_field")
+    places = (columns.join(decided, ["source_system", "source_column"]).groupBy("file")
+              .agg(F.map_from_entries(F.collect_list(F.struct("canonical_field", F.col("at") + 1))).alias("place")))  # fields at most
+    known = headers.select("file", "first").join(places, "file", "left")
+    rows = lines.join(known, "file").where(F.col("line") > F.col("first"))
+    place = F.coalesce("place", F.create_map().cast("map<string,int>"))
+    fields = [F.try_element_at("cells", F.try_element_at(place, F.lit(f))).alias(f) for f in FIELD_NAMES]
+    lineage = [F.col("source_system"), F.lit(str(batch_date)), F.lit(batch_id), F.lit(stamp)]
+    return rows.select(*fields, *[c.alias(n) for n, c in zip(LINEAGE, lineage)])
+
+
 def dropped_columns(df: DataFrame, columns: Mapping[str, str]) -> list[str]:
     return [c for c in df.columns if c not in columns]
 

@@ -77,11 +77,21 @@ def fuzzy_match(probe: Column) -> tuple[Column, Column, Column]:
             best["score"])
 
 
+def spread_texts(texts: DataFrame, column: str) -> DataFrame:
+    """The distinct texts, dealt to as many tasks as a shuffle has. A number of partitions
+    that is asked for is kept: texts are few bytes and much work, so partitions joined by
+    their size would be scored in one task."""
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return texts.select(column).where(F.col(column).isNotNull()).distinct().repartition(parts, column)
+
+
 def fuzzy_candidates(headers: DataFrame, column: str = "source_column", top_n: int = 3) -> DataFrame:
-    """Top fields per header with the phrase and score that put them there."""
+    """Top fields per header with the phrase and score that put them there. Every distinct
+    text is scored once, however many headers share it."""
     rank = H.ranked_phrases(PHRASE_TEXTS, [FIELD_NAMES.index(f) for f in PHRASE_FIELDS], top_n)
-    ranked = headers.withColumn("_found", rank(H.probe(F.col(column))))
-    return ranked.select("*", F.posexplode("_found").alias("_i", "_c")).select(
+    probed = headers.withColumn("_probe", H.probe(F.col(column)))
+    ranked = spread_texts(probed, "_probe").withColumn("_found", rank(F.col("_probe")))
+    return probed.join(ranked, "_probe").select(*headers.columns, F.posexplode("_found").alias("_i", "_c")).select(
         *headers.columns, (F.col("_i") + 1).alias("candidate_rank"),
         _pick(PHRASE_FIELDS, F.col("_c.phrase")).alias("canonical_field"),
         _pick(PHRASE_TEXTS, F.col("_c.phrase")).alias("matched_phrase"),
@@ -136,7 +146,7 @@ def propose(headers: DataFrame, overrides: DataFrame | None = None,
     # many systems use it.
     h = h.withColumn("_probe", F.when(~decided, F.translate("norm", "_", " ")))
     phrase, field, score = fuzzy_match(F.col("_probe"))
-    scored = h.where(F.col("_probe").isNotNull()).select("_probe").distinct().select(
+    scored = spread_texts(h, "_probe").select(
         "_probe", phrase.alias("fz_phrase"), field.alias("fz_field"), score.alias("fz_score"))
     h = h.join(scored, "_probe", "left").withColumn("fz_score", F.coalesce("fz_score", F.lit(0.0)))
     method = (F.when(F.col("ov_hit"), "override")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -12,9 +13,10 @@ from pyspark.sql import functions as F
 from reqmill.functions.scalars import batch_dates, ntz, utc_now
 from reqmill.operators import checks as Q
 from reqmill.operators import mapping as M
-from reqmill.operators.landing import apply_mapping, union_systems
+from reqmill.operators.landing import apply_mapping, land_lines, union_systems
 from reqmill.plans import models, serving
-from reqmill.session import ensure_checkpoint_dir
+from reqmill.plans.fact_table import FactTable
+from reqmill.session import drop_dir, ensure_checkpoint_dir, shared_dir
 from reqmill.sources import batch_files as files
 from reqmill.sources import slices, tables
 
@@ -26,10 +28,8 @@ class Layout:
 
     def __getattr__(self, name: str) -> str:
         places = {"raw_files": "files", "landing": "raw/service_requests_raw",
-                  "requests": "staging/requests",
-                  "fact": "analytics/fct_service_requests", "daily": "analytics/agg_daily_borough_sla",
-                  "agencies": "analytics/dim_agency", "decision_log": "reports/mapping_decisions",
-                  "reports": "reports"}
+                  "fact": "analytics/service_requests", "decision_log": "reports/mapping_decisions",
+                  "reports": "reports", "folds": "staging/check_folds"}
         if name not in places:
             raise AttributeError(name)
         return f"{self.root.rstrip('/')}/{places[name]}"
@@ -63,42 +63,53 @@ def ingest_day(spark: SparkSession, day: dt.date, batch_id: str, dialects: Diale
                layout: Layout, strict: bool = True) -> tuple[int, DataFrame]:
     """Resolve the headers of the day's files and land the rows.
 
-    All systems are resolved in one job. Returns rows loaded and the decisions,
-    read back from the log they are written to.
+    All systems' files are read in one scan, and their headers resolved in one job.
+    Returns rows loaded and the decisions, read back from the log they are written to.
     """
-    folder = files.day_dir(layout.raw_files, day)
-    frames = {s: files.read_batch(spark, f"{folder}/source_system={s}")
-              for s in files.batch_systems(spark, layout.raw_files, day)}
-    headers = spark.createDataFrame(
-        [(s, i, c) for s, df in frames.items() for i, c in enumerate(df.columns)],
-        "source_system string, ordinal int, source_column string")
+    scratch = shared_dir(spark)
+    lines = files.read_day(spark, layout.raw_files, day, scratch=scratch)
+    headers = files.file_headers(lines)
     overrides = None if dialects.overrides is None else M.validate_overrides(dialects.overrides)
-    resolved = M.resolve_headers(headers, overrides, dialects.proposals)
+    resolved = M.resolve_headers(files.system_headers(headers), overrides, dialects.proposals)
     tables.append_decisions(resolved, layout.decision_log, str(day), batch_id)
     decisions = tables.read_decisions(spark, layout.decision_log, str(day), batch_id)
     if strict:
         M.require_fields(decisions)
-    maps = M.column_maps(decisions)
-    landed = union_systems([
-        apply_mapping(df, maps.get(s, {}), s, str(day), batch_id) for s, df in frames.items()])
-    return tables.replace_batch(landed, layout.landing, str(day)), decisions
-
-
-def build_models(spark: SparkSession, layout: Layout, reprocess_from: dt.date | None = None) -> dict[str, DataFrame]:
-    """Bring the fact up to date and rewrite the two marts.
-
-    The deduplicated requests are written once; the dimension and the funnel read them.
+    rows = tables.replace_batch(land_lines(lines, headers, decisions, str(day), batch_id), layout.landing, str(day))
+    drop_dir(spark, scratch)
+    return rows, decisions
+
+
+def fold_landing(spark: SparkSession, layout: Layout, day: dt.date, checks: Sequence[Q.Check]) -> dict[str, DataFrame]:
+    """Folds of the checks on landed and on staged rows, one for each batch. Only the
+    batch of the day, and batches that were never folded, are read."""
+    todo = sorted({str(day)} | tables.batch_dates(spark, layout.landing) - tables.batch_dates(spark, f"{layout.folds}/staged"))
+    raw = tables.read_landing(spark, layout.landing).where(F.col("_batch_date").isin(todo))
+    staged = models.stage(raw).withColumn("_batch_date", F.col("batch_date").cast("string"))
+    folds = {}
+    for model, rows in (("raw", raw), ("staged", staged)):
+        folded = Q.fold(checks, model, rows, "_batch_date")
+        path = f"{layout.folds}/{model}"
+        (folded.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch_date").parquet(path))
+        folds[model] = spark.read.schema(folded.schema).parquet(path)
+    return folds
+
+
+def build_models(spark: SparkSession, layout: Layout, reprocess_from: dt.date | None = None,
+                 checks: Sequence[Q.Check] = ()) -> dict[str, DataFrame]:
+    """Bring the fact and its marts up to date; all of them change in one commit.
+
+    What a day's run reads of the past is the partitions that can hold a changed request
+    and the months that its rows move in. Counting the requests ever landed reads their
+    ids alone.
     """
     raw = tables.read_landing(spark, layout.landing)
     staged = models.stage(raw)
-    fact = models.FactTable(spark, layout.fact)
+    fact = FactTable(spark, layout.fact, checks=checks)
     fact.update(staged, reprocess_from)
-    models.deduplicate(staged).write.mode("overwrite").parquet(layout.requests)
-    deduped = spark.read.parquet(layout.requests)
-    models.agency_dimension(deduped).write.mode("overwrite").parquet(layout.agencies)
-    models.daily_sla(fact.read()).write.mode("overwrite").parquet(layout.daily)
-    return {"raw": raw, "staged": staged, "deduped": deduped, "fact": fact.read(),
-            "dim": spark.read.parquet(layout.agencies), "daily": spark.read.parquet(layout.daily)}
+    return {"raw": raw, "staged": staged, "deduped": staged.select("request_id").distinct(), "fact": fact.read(),
+            "dim": fact.agencies(), "daily": fact.daily()} | ({
+                "fact_folds": fact.folds(), "repeated": fact.repeated()} if checks else {})
 
 
 def _row_counts(spark: SparkSession, layout: Layout, day: dt.date) -> DataFrame:
@@ -122,12 +133,20 @@ def run_batch(spark: SparkSession, source: DataFrame, names: Mapping[str, str],
     `reprocess_from` names its date or an older one.
     """
     batch_id = batch_id or f"local-{day}-{utc_now():%H%M%S}"
+    started = time.monotonic()
     extract_day(source, names, day, dialects, layout)
     _, decisions = ingest_day(spark, day, batch_id, dialects, layout)
-    built = build_models(spark, layout, reprocess_from)
-    results = Q.run_checks(Q.standard_checks(ntz(now or utc_now())), built)
+    moment = ntz(now or utc_now())
+    checks = Q.standard_checks(moment)
+    built = build_models(spark, layout, reprocess_from, checks)
+    folds = fold_landing(spark, layout, day, checks) | {"fact": built["fact_folds"]}
+    results = Q.run_checks(checks, built, folds, {
+        "unique_fact_request_id": built["repeated"],
+        "assert_agg_matches_fact_row_count": Q.reconcile(built["fact_folds"], built["daily"], F.sum("n"))}, moment)
     path = f"{layout.reports}/checks/{day}"
+    checking = time.monotonic()
     results.write.mode("overwrite").parquet(path)
+    checks_seconds = round(time.monotonic() - checking, 2)
     summary = Q.summarize(spark.read.parquet(path))
     funnel = Q.stage_funnel({
         "1_landed": built["raw"], "2_staged": built["staged"],
@@ -135,7 +154,8 @@ def run_batch(spark: SparkSession, source: DataFrame, names: Mapping[str, str],
         "5_daily_mart": built["daily"], "5_agency_dim": built["dim"]})
     report = serving.run_report(
         str(day), batch_id, funnel, summary, M.mapping_rollup(M.mapping_stats(decisions), decisions, _row_counts(
-            spark, layout, day)), M.confidence_histogram(decisions), decisions, spark.read.parquet(path))
+            spark, layout, day)), M.confidence_histogram(decisions), decisions, spark.read.parquet(path),
+        run_seconds=round(time.monotonic() - started, 2), checks_seconds=checks_seconds)
     target = f"{layout.reports}/quality_report/{day}"
     tables.write_summary(report, target)
     if enforce:

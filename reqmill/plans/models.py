@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,6 +45,14 @@ def _descending(c: Column, dtype: T.DataType) -> Column:
     return F.coalesce(-number, F.lit((1 << 63) - 1))
 
 
+def dedup_order(staged: DataFrame) -> list[Column]:
+    """What the newest row of a request is least in."""
+    dtypes = {f.name: f.dataType for f in staged.schema}
+    order = [_descending(F.col(c), dtypes[c]).alias(f"_{c}") for c in ("ingested_at", "batch_date")]
+    return order + [F.col(c).isNull().alias(f"_no_{c}") if missing else F.col(c).alias(f"_{c}")
+                    for c in ("source_system", "batch_id") for missing in (True, False)]
+
+
 def deduplicate(staged: DataFrame, key: str = "request_id") -> DataFrame:
     """The newest row per key, and whether the key landed more than once.
 
@@ -54,20 +61,16 @@ def deduplicate(staged: DataFrame, key: str = "request_id") -> DataFrame:
     where a ranking window would sort all its rows in one. The rest of the row
     breaks ties the order leaves open.
     """
-    dtypes = {f.name: f.dataType for f in staged.schema}
-    order = [_descending(F.col(c), dtypes[c]).alias(f"_{c}") for c in ("ingested_at", "batch_date")]
-    order += [F.col(c).isNull().alias(f"_no_{c}") if missing else F.col(c).alias(f"_{c}")
-              for c in ("source_system", "batch_id") for missing in (True, False)]
     payload = F.struct(*[c for c in staged.columns if c != key]).alias("row")
-    best = staged.groupBy(key).agg(F.min(F.struct(*order, payload)).alias("best"),
+    best = staged.groupBy(key).agg(F.min(F.struct(*dedup_order(staged), payload)).alias("best"),
                                    F.count("*").alias("times_landed"))
     return best.select(
         *[F.col(key) if c == key else F.col(f"best.row.{c}").alias(c) for c in staged.columns],
         (F.col("times_landed") > 1).alias("was_relanded"))
 
 
-def build_fact(requests: DataFrame) -> DataFrame:
-    """One row per request with the derived columns."""
+def build_fact(requests: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """One row per request with the derived columns, and with extra ones of requests."""
     closed, created = F.col("closed_at"), F.col("created_at")
     backdated = F.coalesce(closed < created, F.lit(False))
     derived = {
@@ -79,7 +82,7 @@ def build_fact(requests: DataFrame) -> DataFrame:
     }
     wanted = [f.name for f in T._parse_datatype_string(FACT_COLUMNS)]
     return requests.withColumns(derived).select(
-        [c for c in wanted if c in requests.columns or c in derived])
+        [c for c in [*wanted, *extra] if c in requests.columns or c in derived])
 
 
 def agency_dimension(requests: DataFrame) -> DataFrame:
@@ -88,9 +91,20 @@ def agency_dimension(requests: DataFrame) -> DataFrame:
     Everything comes from counts per (code, name), so the requests are read and
     shuffled once, already folded.
     """
-    per_name = requests.groupBy("agency_code", "agency_name").agg(
+    return agency_totals(name_counts(requests))
+
+
+def name_counts(requests: DataFrame, *by: str) -> DataFrame:
+    """Counts and first and last date per agency code and name."""
+    return requests.groupBy(*by, "agency_code", "agency_name").agg(
         F.count("*").alias("n"), F.count("closed_at").alias("closed"),
         F.min("created_at").alias("first"), F.max("created_at").alias("last"))
+
+
+def agency_totals(counts: DataFrame) -> DataFrame:
+    """The dimension from name_counts(), which may be in parts."""
+    per_name = counts.groupBy("agency_code", "agency_name").agg(
+        F.sum("n").alias("n"), F.sum("closed").alias("closed"), F.min("first").alias("first"), F.max("last").alias("last"))
     named = F.when(F.col("agency_name").isNotNull(),
                    F.struct((-F.col("n")).alias("rank"), F.col("agency_name").alias("name")))
     totals = per_name.groupBy("agency_code").agg(
@@ -117,6 +131,15 @@ def daily_sla(fact: DataFrame) -> DataFrame:
     its rows. Hours are three-decimal numbers, summed as whole thousandths, so the
     average does not depend on the order of addition.
     """
+    return daily_from_cells(daily_cells(fact))
+
+
+def daily_cells(fact: DataFrame, sign: Column | None = None) -> DataFrame:
+    """How many rows of each day, borough and agency have a complaint type (and how many
+    of them are closed), and how many a number of hours. Rows count `sign` each, so that
+    a row can be taken back."""
+    sign = F.lit(1) if sign is None else sign
+
     def cell(by_type, complaint_type, hours, is_closed):
         return F.struct(F.lit(by_type).alias("by_type"), complaint_type.alias("complaint_type"),
                         hours.alias("hours"), is_closed.alias("closed"))
@@ -124,13 +147,16 @@ def daily_sla(fact: DataFrame) -> DataFrame:
     none = F.lit(None)
     rows = fact.select(
         "created_date", F.coalesce("borough", F.lit("UNSPECIFIED")).alias("borough"), "agency_code",
-        F.inline(F.array(
+        sign.alias("_sign"), F.inline(F.array(
             cell(True, F.col("complaint_type"), none.cast("double"), F.col("is_closed")),
             cell(False, none.cast("string"), F.col("resolution_hours"), F.lit(False)))))
     rows = rows.where(F.col("by_type") | F.col("hours").isNotNull())
-    cells = rows.groupBy(*_DAY, "by_type", "complaint_type", "hours").agg(
-        F.count("*").alias("n"), F.count_if("closed").alias("closed"))
+    return rows.groupBy(*_DAY, "by_type", "complaint_type", "hours").agg(
+        F.sum("_sign").alias("n"), F.sum(F.when(F.col("closed"), F.col("_sign")).otherwise(0)).alias("closed"))
+
 
+def daily_from_cells(cells: DataFrame) -> DataFrame:
+    """The daily mart from daily_cells()."""
     whole = Window.partitionBy(*_DAY)
     timed = F.when(~F.col("by_type"), F.col("n")).otherwise(F.lit(0))
     ranked = cells.withColumns({
@@ -160,6 +186,29 @@ def daily_sla_approx(fact: DataFrame) -> DataFrame:
           approx_median(F.col("resolution_hours")).alias("median_resolution_hours"))
 
 
+def daily_sketches(fact: DataFrame) -> DataFrame:
+    """The daily mart with sketches in place of medians and distinct counts: columns of a
+    few KB at most that add up, so that any range or group of days is answered from the
+    mart. A KLL sketch of the hours, an HLL one of the complaint types."""
+    return fact.groupBy("created_date", F.coalesce("borough", F.lit("UNSPECIFIED")).alias("borough"), "agency_code").agg(
+        F.count("*").alias("requests_opened"), F.count_if("is_closed").alias("requests_closed"),
+        F.count("resolution_hours").alias("timed"),
+        F.kll_sketch_agg_double(F.col("resolution_hours")).alias("hours"), F.hll_sketch_agg("complaint_type").alias("types"))
+
+
+def sketch_totals(sketched: DataFrame, *by: Column | str) -> DataFrame:
+    """Counts, the estimated median of the hours (null without any) and the estimated number
+    of complaint types of any groups of daily_sketches()."""
+    merged = sketched.groupBy(*by)
+    timed = F.col("timed") > 0
+    totals = merged.agg(
+        F.sum("requests_opened").alias("requests_opened"), F.sum("requests_closed").alias("requests_closed"),
+        F.sum("timed").alias("timed"), F.kll_merge_agg_double("hours").alias("_hours"),
+        F.hll_sketch_estimate(F.hll_union_agg("types")).alias("complaint_types"))
+    median = F.when(timed, F.kll_sketch_get_quantile_double("_hours", F.lit(0.5)))
+    return totals.withColumn("median_resolution_hours", median).drop("_hours")
+
+
 # --- incremental fact -----------------------------------------------------
 
 def changed_requests(staged: DataFrame, since: dt.date) -> DataFrame:
@@ -168,134 +217,11 @@ def changed_requests(staged: DataFrame, since: dt.date) -> DataFrame:
     Only keys seen in those batches can have such a winner, so the rest is
     filtered out before ranking. The keys are folded first.
     """
-    keys = staged.where(F.col("batch_date") >= F.lit(since)).select("request_id").distinct()
-    seen = staged.join(keys, "request_id", "left_semi").select(staged.columns)
+    keys = staged.where(F.col("batch_date") >= F.lit(since)).select(F.col("request_id").alias("_id")).distinct()
+    seen = staged.join(keys, F.col("request_id").eqNullSafe(F.col("_id")), "left_semi")
     return deduplicate(seen).where(F.col("batch_date") >= F.lit(since))
 
 
-class FactTable:
-    """The fact as Parquet parts by hash of the request id, with commit records.
-
-        <path>/parts/v=<version>/_bucket=<n>/   what one update wrote, once
-        <path>/commits/<version>                the version each bucket is read from, and
-                                                the mark the update has reached
-
-    An update writes the buckets that it changes under a new version and then its
-    commit record, in one rename. Until then readers and later runs see the commit
-    before: a run that dies leaves only files that its repetition overwrites, and the
-    mark cannot run ahead of the rows. The versions of the last two commits are kept.
-    """
-
-    def __init__(self, spark, path: str, buckets: int = 32):
-        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
-        fields = [f for f in T._parse_datatype_string(FACT_COLUMNS)]
-        self.columns = [f.name for f in fields]
-        self.schema = T.StructType(fields)
-
-    def _place(self, *parts: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
-    def _names(self, *parts: str) -> list[str]:
-        files, path = self._place(*parts)
-        return sorted(s.getPath().getName() for s in files.listStatus(path)) if files.exists(path) else []
-
-    def _commits(self) -> list[str]:
-        return [n for n in self._names("commits") if n.isdigit()]
-
-    def _read_commit(self, name: str) -> dict:
-        files, path = self._place("commits", name)
-        stream = files.open(path)
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def last_commit(self) -> dict | None:
-        """{version, mark, buckets, parts: bucket -> version} of the newest commit."""
-        names = self._commits()
-        return self._read_commit(names[-1]) if names else None
-
-    def _commit(self, record: dict) -> None:
-        files, draft = self._place("commits", f"_{record['version']:012d}")
-        _, final = self._place("commits", f"{record['version']:012d}")
-        stream = files.create(draft, True)
-        stream.write(bytearray(json.dumps(record).encode()))
-        stream.close()
-        if not files.rename(draft, final):
-            raise RuntimeError(f"another run has committed version {record['version']}")
-
-    def _remove_old(self) -> None:
-        names = self._commits()
-        kept = {(int(v), int(b)) for n in names[-2:] for b, v in self._read_commit(n)["parts"].items()}
-        for version in self._names("parts"):
-            for bucket in self._names("parts", version):
-                if bucket.startswith("_bucket=") and (int(version[2:]), int(bucket[8:])) not in kept:
-                    files, path = self._place("parts", version, bucket)
-                    files.delete(path, True)
-        for name in names[:-2]:
-            files, path = self._place("commits", name)
-            files.delete(path, False)
-
-    def _rows(self, commit: dict, buckets=None) -> DataFrame:
-        folders = [f"{self.path}/parts/v={v:012d}/_bucket={b}" for b, v in commit["parts"].items()
-                   if buckets is None or int(b) in buckets]
-        if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*folders)
-
-    def read(self) -> DataFrame | None:
-        commit = self.last_commit()
-        return None if commit is None else self._rows(commit)
-
-    def mark(self) -> dt.date:
-        """Newest batch date the fact has taken in."""
-        commit = self.last_commit()
-        return FIRST_DATE if commit is None else dt.date.fromisoformat(commit["mark"])
-
-    def _bucket(self, buckets: int) -> Column:
-        return F.pmod(F.xxhash64("request_id"), F.lit(buckets)).cast("int")
-
-    def _write(self, fact: DataFrame, before: dict | None) -> None:
-        record = before or {"version": 0, "mark": FIRST_DATE.isoformat(), "buckets": self.buckets, "parts": {}}
-        version = record["version"] + 1
-        folder = f"v={version:012d}"
-        # Rebalancing keeps files few per bucket and splits a bucket that is large.
-        (fact.select(self.columns).withColumn("_bucket", self._bucket(record["buckets"])).hint("rebalance", "_bucket")
-         .write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/parts/{folder}"))
-        written = {n[8:]: version for n in self._names("parts", folder) if n.startswith("_bucket=")}
-        new = self._rows({"parts": written}).agg(F.max("batch_date").alias("mark")).first().mark
-        mark = max(filter(None, (dt.date.fromisoformat(record["mark"]), new)))
-        self._commit(record | {"version": version, "mark": mark.isoformat(), "parts": record["parts"] | written})
-        self._remove_old()
-
-    def full_refresh(self, staged: DataFrame) -> None:
-        before = self.last_commit()
-        self._write(build_fact(deduplicate(staged)), None if before is None else before | {"parts": {}})
-
-    def update(self, staged: DataFrame, reprocess_from: dt.date | None = None) -> None:
-        """Bring in batches from the mark on; build the fact if there is none.
-
-        Batches below the mark are skipped, as a late batch is by default; name
-        its date in `reprocess_from` to include it.
-        """
-        before = self.last_commit()
-        if before is None:
-            self.full_refresh(staged)
-            return
-        since = reprocess_from or dt.date.fromisoformat(before["mark"])
-        # The keys alone say which buckets can change: one small number each.
-        keys = staged.where(F.col("batch_date") >= F.lit(since)).select(self._bucket(before["buckets"]).alias("b"))
-        touched = {r.b for r in keys.distinct().collect()}
-        if not touched:
-            return
-        rows = F.struct(*self.columns)
-        incoming = build_fact(changed_requests(staged, since)).select(F.col("request_id").alias("_new_id"), rows.alias("_new"))
-        old = self._rows(before, touched).select("request_id", rows.alias("_old"))
-        merged = old.join(incoming, F.col("request_id").eqNullSafe(F.col("_new_id")), "full_outer")
-        self._write(merged.select(F.coalesce("_new", "_old").alias("_row")).select("_row.*"), before)
-
-
 # --- marts of the run without a warehouse ---------------------------------
 
 def _upper_or_unspecified(c: Column) -> Column:

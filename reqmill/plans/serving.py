@@ -150,8 +150,9 @@ def headline(fact: DataFrame, decisions: DataFrame, summary: DataFrame) -> DataF
 
 def run_report(batch_date: str, batch_id: str, funnel: DataFrame, summary: DataFrame,
                rollup: DataFrame, histogram: DataFrame, decisions: DataFrame, results: DataFrame,
-               written_at: str | None = None) -> DataFrame:
-    """The run as one nested record."""
+               written_at: str | None = None, run_seconds: float | None = None,
+               checks_seconds: float | None = None) -> DataFrame:
+    """The run as one nested record, with how long the run and its checks took."""
     def listed(df, *columns):
         return df.agg(F.sort_array(F.collect_list(F.struct(*columns)))).scalar()
 
@@ -163,4 +164,5 @@ def run_report(batch_date: str, batch_id: str, funnel: DataFrame, summary: DataF
         listed(counts_by_method(decisions), "position", "method", "columns").alias("methods"),
         decisions.agg(F.count("*")).scalar().alias("decisions"),
         listed(not_passing(results), "test", "status", "failures").alias("not_passing"),
+        F.lit(run_seconds).cast("double").alias("run_seconds"), F.lit(checks_seconds).cast("double").alias("checks_seconds"),
         F.lit(written_at or utc_now().isoformat(timespec="seconds")).alias("written_at"))

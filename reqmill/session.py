@@ -53,14 +53,10 @@ def local_session(app: str, cores: str = "*", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder that every executor can reach, deleted when the session ends.
 
-    It lies under spark.checkpoint.dir. A machine-local folder is used only in
-    local mode with that setting absent, as in tests.
+    It lies under spark.checkpoint.dir. Where that is not set, as in tests, it lies under
+    the warehouse, which executors share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="reqmill-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     folder = f"{root.rstrip('/')}/reqmill-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -69,6 +65,12 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def drop_dir(spark: SparkSession, folder: str) -> None:
+    """Delete a shared_dir() before the session ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqmill.session import shared_dir
+from reqmill.session import drop_dir, shared_dir
 
 
 class EmptyBatch(ValueError):
@@ -36,10 +36,11 @@ def write_batch(rows: DataFrame, root: str, day: dt.date | str,
     columns, filled with '<system>-<row number within the system>'.
 
     The rows are dealt out once, to a folder for each system in the shared scratch
-    space; each system's files are then written from its own folder.
+    space, which is deleted at the end; each system's files are then written from its own
+    folder.
     """
-    extras = extras or {}
-    dealt = f"{shared_dir(rows.sparkSession)}/dealt"
+    extras, spark = extras or {}, rows.sparkSession
+    dealt = shared_dir(spark) + "/dealt"
     rows.write.partitionBy("source_system").parquet(dealt)
     rows = rows.sparkSession.read.schema(rows.schema).parquet(dealt)
     for system, names in headers.items():
@@ -56,8 +57,10 @@ def write_batch(rows: DataFrame, root: str, day: dt.date | str,
          .csv(f"{day_dir(root, day)}/source_system={system}"))
     manifest = batch_manifest(rows, day, {
         system: len(names) + len(extras.get(system, ())) for system, names in headers.items()})
-    manifest.write.mode("overwrite").json(f"{day_dir(root, day)}/_manifest")
-    return manifest
+    path = f"{day_dir(root, day)}/_manifest"
+    manifest.write.mode("overwrite").json(path)
+    drop_dir(spark, dealt)
+    return spark.read.schema(manifest.schema).json(path)
 
 
 def batch_manifest(rows: DataFrame, day: dt.date | str, widths: Mapping[str, int]) -> DataFrame:
@@ -99,6 +102,54 @@ def read_batch(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
             .csv(path).na.fill(""))
 
 
+WIDTH = 256  # columns a file may have
+
+
+def read_day(spark: SparkSession, root: str, day: dt.date | str, width: int = WIDTH, scratch: str | None = None) -> DataFrame:
+    """(source_system, file, line, cells) of every line of the day's files of all systems,
+    headers included, in one scan that is the same plan for any number of systems.
+
+    cells is an array of strings, blanks as ''; `line` ascends within a file. A line of
+    more than `width` columns is an error, not a cut. The lines are kept in `scratch`, or else
+    in the shared scratch space: they are read for their headers first, then landed.
+    """
+    names = [f"_c{i}" for i in range(width)]
+    schema = ", ".join(f"{c} string" for c in [*names, "_whole"])
+    folder = day_dir(root, day)
+    try:
+        lines = (spark.read.schema(schema).option("header", False).option("multiLine", True).option("escape", '"')
+                 .option("columnNameOfCorruptRecord", "_whole").option("basePath", folder)
+                 .option("pathGlobFilter", "*.csv").csv(f"{folder}/source_system=*"))
+    except AnalysisException as err:
+        raise FileNotFoundError(f"no source files in {folder}") from err
+    file = F.col("_metadata.file_path")
+    # A shorter line is marked too; only one that fills every column may have lost some.
+    too_wide = F.col("_whole").isNotNull() & F.col(names[-1]).isNotNull()
+    cells = F.when(too_wide, F.raise_error(F.concat(F.lit(f"more than {width} columns in "), file)).cast("array<string>")).otherwise(
+        F.transform(F.array(*names), lambda c: F.coalesce(c, F.lit(""))))
+    path = f"{scratch or shared_dir(spark)}/lines"
+    (lines.select(F.regexp_extract(file, "source_system=([^/]+)/", 1).alias("source_system"), file.alias("file"),
+                  F.monotonically_increasing_id().alias("line"), cells.alias("cells")).write.parquet(path))
+    return spark.read.parquet(path)
+
+
+def file_headers(lines: DataFrame) -> DataFrame:
+    """(source_system, file, first, header) from the first line of every file of read_day()."""
+    header = F.reverse(F.min_by("cells", "line"))
+    # What lies behind the last name is the width of the scan.
+    width = F.size("header") - F.coalesce(F.array_position(F.transform("header", lambda c: c != ""), True), F.lit(1)) + 1
+    return (lines.groupBy("source_system", "file").agg(F.min("line").alias("first"), header.alias("header"))
+            .select("source_system", "file", "first", F.slice(F.reverse("header"), F.lit(1), width.cast("int")).alias("header")))
+
+
+def system_headers(headers: DataFrame) -> DataFrame:
+    """(source_system, ordinal, source_column) of every column of every system once, at
+    its first place."""
+    return (headers.select("source_system", F.posexplode("header").alias("ordinal", "source_column")).where("source_column <> ''")
+            .groupBy("source_system", "source_column").agg(F.min("ordinal").alias("ordinal"))
+            .select("source_system", "ordinal", "source_column"))
+
+
 def sample_values(df: DataFrame, order: Sequence[str], columns: Sequence[str] | None = None,
                   n: int = 5) -> DataFrame:
     """Per column the first n non-blank values among the first 4n rows."""

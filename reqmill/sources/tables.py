@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,18 +23,37 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(landing_schema()).parquet(path).select(FIELD_NAMES + LINEAGE)
 
 
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """df with its rows counted as they are written. Nothing may be shuffled after it:
+    then each row is counted by the one task that writes it, and only once."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def _rows(seen: Observation) -> int:
+    return seen.get.get("rows", 0)
+
+
 def replace_batch(df: DataFrame, path: str, batch_date: str) -> int:
     """Make `df` the only rows of its batch date and return their number.
 
-    The batch's own partition folder is overwritten, so re-runs never double, the
-    other batches are not touched, and an empty frame empties the batch.
+    The rows are written beside the table, counted on the way, and moved to the batch's
+    own partition folder once they are all there. So re-runs never double, the other
+    batches are not touched, an empty frame empties the batch, and a run that dies while
+    it writes leaves the batch as it was.
     """
+    spark, path = df.sparkSession, path.rstrip("/")
     foreign = F.raise_error(F.lit(f"row of another batch while replacing {batch_date}"))
     own = F.when(F.col("_batch_date") == batch_date, F.lit(True)).otherwise(foreign)
-    folder = f"{path.rstrip('/')}/_batch_date={batch_date}"
-    (df.select(FIELD_NAMES + LINEAGE).where(own).drop("_batch_date")
-     .write.mode("overwrite").parquet(folder))
-    return read_landing(df.sparkSession, path).where(F.col("_batch_date") == batch_date).count()
+    rows, seen = _counted(df.select(FIELD_NAMES + LINEAGE).where(own).drop("_batch_date"))
+    draft, final = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (
+        f"{path}/_draft-{uuid.uuid4().hex}", f"{path}/_batch_date={batch_date}"))
+    rows.write.parquet(draft.toString())
+    files = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(final, True)
+    if not files.rename(draft, final):
+        raise RuntimeError(f"could not publish batch {batch_date}")
+    return _rows(seen)
 
 
 def replace_batches(df: DataFrame, path: str) -> None:
@@ -46,6 +66,14 @@ def replace_batches(df: DataFrame, path: str) -> None:
      .partitionBy("_batch_date").parquet(path))
 
 
+def batch_dates(spark: SparkSession, path: str) -> set[str]:
+    """The batch dates that a table partitioned by them has a folder for."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+    return {n.removeprefix("_batch_date=") for n in names if n.startswith("_batch_date=")}
+
+
 def read_or_none(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
     try:
         return spark.read.schema(schema).parquet(path)
@@ -91,6 +119,40 @@ def read_decisions(spark: SparkSession, path: str, batch_date: str | None = None
     return log
 
 
+# Where the fields of a log line are, in the shapes that have been written.
+# A line is read by the first place that it has.
+LOG_PLACES = {
+    "batch_date": ("$.batch_date", "$.run.date"), "batch_id": ("$.batch_id", "$.run.id"),
+    "source_system": ("$.source_system", "$.system"), "source_column": ("$.source_column", "$.header"),
+    "canonical_field": ("$.canonical_field", "$.decision.field"), "method": ("$.method", "$.decision.tier"),
+    "confidence": ("$.confidence", "$.decision.score"), "reasoning": ("$.reasoning", "$.decision.why"),
+}
+
+
+def read_log_lines(spark: SparkSession, path: str, places: Mapping[str, tuple[str, ...]] = LOG_PLACES,
+                   kinds: Mapping[str, str] | None = None) -> DataFrame:
+    """The fields of JSON lines whose shape has changed over time, and for each line whether
+    it could be read (`readable`) and which of its places, counted from 0, named its method
+    or else its first field (`shape`).
+
+    Lines become VARIANT values, so no schema is fitted to what happens to be there: a line
+    of an older shape, a field of another type and a broken line each give nulls where they
+    say nothing, and no line is dropped.
+    """
+    kinds = {"confidence": "double"} | dict(kinds or {})
+    line = F.try_parse_json("value")
+
+    def at(name: str, place: str) -> Column:
+        return F.try_variant_get("_line", place, kinds.get(name, "string"))
+
+    lines = spark.read.option("recursiveFileLookup", True).text(path).where("trim(value) <> ''").select(line.alias("_line"))
+    named = "method" if "method" in places else next(iter(places))
+    shape = F.coalesce(*[F.when(at(named, p).isNotNull(), F.lit(i)) for i, p in enumerate(places[named])])
+    readable = F.col("_line").isNotNull() & (F.schema_of_variant("_line").startswith("OBJECT"))
+    return lines.select(*[F.coalesce(*[at(name, p) for p in found]).alias(name) for name, found in places.items()],
+                        F.coalesce(readable, F.lit(False)).alias("readable"), shape.alias("shape"))
+
+
 def latest_batch(df: DataFrame, column: str = "batch_date") -> DataFrame:
     """Rows of the newest batch, by a one-row join instead of a driver round trip."""
     newest = df.agg(F.max(column).alias("_newest"))
@@ -107,12 +169,13 @@ def read_summary(spark: SparkSession, path: str, schema: T.StructType | str | No
 
 
 def export_tables(tables: Mapping[str, DataFrame], root: str) -> DataFrame:
-    """Write each table as Parquet; return and store the row counts."""
+    """Write each table as Parquet; return and store the row counts, taken during the write."""
     spark = next(iter(tables.values())).sparkSession
     counts = []
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-        counts.append((name, spark.read.parquet(f"{root}/{name}").count()))
+        rows, seen = _counted(df)
+        rows.write.mode("overwrite").parquet(f"{root}/{name}")
+        counts.append((name, _rows(seen)))
     manifest = spark.createDataFrame(counts, "table string, rows bigint")
     manifest.write.mode("overwrite").json(f"{root}/_manifest")
     return manifest

@@ -1,9 +1,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from reqmill.functions.scalars import ntz
 from reqmill.operators import checks as Q
-from reqmill.plans import batch
+from reqmill.plans import batch, models
 from reqmill.sources import tables
 from workload import dialects as D
 
@@ -39,6 +41,7 @@ def test_backfill_and_rerun(spark, source, dialects, tmp_path):
     last = again
     assert (last.tests.tests_total, last.tests.tests_failed, last.mapping.columns_total) == (44, 0, 83)
     assert last.mapping.auto_match_rate == 0.75
+    assert last.run_seconds > last.checks_seconds > 0
     assert [c["columns"] for c in last.confidence] == [46, 15, 2, 20]
     assert (last.decisions, sum(m["columns"] for m in last.methods), last.written_at[:2]) == (83, 83, "20")
     assert last.mapping.rows_read == last.mapping.rows_loaded == 13 and len(last.mapping.sources) == 4
@@ -50,8 +53,48 @@ def test_backfill_and_rerun(spark, source, dialects, tmp_path):
     assert tables.read_decisions(spark, layout.decision_log, "2026-09-02").count() == 166
 
 
+def test_checks_fold_only_the_days_own_rows(spark, source, dialects, tmp_path, monkeypatch):
+    """The second day folds its own batch and the partitions of the fact that it wrote, and
+    its results are those of a run over everything."""
+    layout, days, folded = batch.Layout(str(tmp_path)), [dt.date(2026, 9, d) for d in (1, 2)], []
+    fold = Q.fold
+
+    def seen(checks, model, table, *by):
+        if model in ("raw", "staged"):
+            plan = table._jdf.queryExecution().executedPlan().toString()
+            folded.append((model, any("PartitionFilters: [" in x and "2026-09-02" in x and "2026-09-01" not in x for x in plan.splitlines())))
+        return fold(checks, model, table, *by)
+    bad = source.withColumn("borough", F.when(F.col("unique_key") % 5 == 0, "ATLANTIS").otherwise(F.col("borough"))).withColumn(
+        "latitude", F.when(F.col("unique_key") % 4 == 0, "50.5").otherwise(F.col("latitude")))
+    batch.run_batch(spark, bad, D.SOURCE_NAMES, days[0], dialects, layout, now=NOW, enforce=False)
+    monkeypatch.setattr(Q, "fold", seen)
+    batch.run_batch(spark, bad, D.SOURCE_NAMES, days[1], dialects, layout, now=NOW, enforce=False)
+    assert folded == [("raw", True), ("staged", True)]
+    monkeypatch.undo()
+    raw = tables.read_landing(spark, layout.landing)
+    staged = models.stage(raw)
+    deduped = models.deduplicate(staged)
+    fact = models.build_fact(deduped)
+    whole = Q.run_checks(Q.standard_checks(ntz(NOW)), {"raw": raw, "staged": staged, "fact": fact, "dim": models.agency_dimension(deduped),
+                                                       "daily": models.daily_sla(fact)})
+    kept = spark.read.parquet(f"{layout.reports}/checks/{days[1]}")
+    assert sorted(map(tuple, kept.select(sorted(kept.columns)).collect())) == sorted(map(tuple, whole.select(sorted(kept.columns)).collect()))
+    assert {r.test: r.failures for r in kept.collect()}["accepted_values_staged_borough"] == 1
+    assert kept.where("test = 'within_range_staged_latitude' and failures > 2").count() == 1
+
+
+def test_a_days_update_reads_its_own_batches_for_keys(spark, source, dialects, tmp_path):
+    """The mark reaches the landing's scan as a partition filter."""
+    layout = batch.Layout(str(tmp_path))
+    for day in (dt.date(2026, 9, 1), dt.date(2026, 9, 2)):
+        batch.run_batch(spark, source, D.SOURCE_NAMES, day, dialects, layout, now=NOW)
+    staged = models.stage(tables.read_landing(spark, layout.landing))
+    plan = models.changed_requests(staged, dt.date(2026, 9, 2))._jdf.queryExecution().toString()
+    assert any("PartitionFilters: [" in line and ">=" in line for line in plan.splitlines())
+
+
 def models_read(spark, layout):
-    from reqmill.plans.models import FactTable
+    from reqmill.plans.fact_table import FactTable
     return FactTable(spark, layout.fact).read()
 
 

@@ -1,3 +1,6 @@
+import datetime as dt
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +108,31 @@ def test_row_by_row_checks_share_a_pass(spark):
 def test_missing_stage_counts_minus_one(spark):
     got = {r.stage: r.rows for r in Q.stage_funnel({"a": spark.range(3), "b": None}).collect()}
     assert got == {"a": 3, "b": -1}
+
+
+def test_folds_of_parts_add_up(spark):
+    """A table in parts, folded apart, judged later than it was folded."""
+    rng = random.Random(2)
+    stamps = [dt.datetime(2024, 1, 1), dt.datetime(2024, 6, 1), dt.datetime(2024, 6, 2, 0, 0, 1), dt.datetime(2024, 9, 1), None]
+    rows = [(i % 3, rng.choice(stamps), rng.choice(["a", "b", "x", "y", None]), rng.choice(["k1", "k2", "k3", None]), rng.choice([1.0, 5.0, None]))
+            for i in range(500)]
+    table = spark.createDataFrame(rows, "part int, at timestamp_ntz, kind string, code string, size double")
+    parents = spark.createDataFrame([("k1",)], "code string")
+
+    def suite(now):
+        return [Q.Check("not_null", "t", "kind", bad=Q.not_null("kind")), Q.Check("not_in_future", "t", "at", bad=Q.not_in_future("at", ntz(now))),
+                Q.Check("within_range", "t", "size", bad=Q.within_range("size", 0, 3)),
+                Q.Check("accepted_values", "t", "kind", "warn", allowed=["a", "b"], rows=lambda t: Q.accepted_values(t["t"], "kind", ["a", "b"])),
+                Q.Check("relationships", "t", "code", weight="n_records", parent="p", rows=lambda t: Q.relationships(t["t"], "code", t["p"], "code")),
+                Q.Check("singular", "t", name="any_large", bad=F.col("size") > 4, once=True)]
+
+    folds = Q.fold(suite("2024-05-01"), "t", table.where("part = 0"), "part").unionByName(
+        Q.fold(suite("2024-05-20"), "t", table.where("part > 0"), "part"))
+    later, tables = "2024-06-01", {"t": table, "p": parents}
+    kept = Q.run_checks(suite(later), tables, {"t": folds.drop("part")}, now=ntz(later)).collect()
+    got = {r.test: (r.failures, r.status) for r in kept}
+    assert got == {r.test: (r.failures, r.status) for r in Q.run_checks(suite(later), tables).collect()}
+    plain = {c.test: Q.failing_rows(c, tables) for c in suite(later)}
+    assert got["not_in_future_t_at"][0] == plain["not_in_future_t_at"].count() > 0
+    assert got["accepted_values_t_kind"] == (2, "warn") and got["any_large"] == (1, "fail")
+    assert got["relationships_t_code"][0] == plain["relationships_t_code"].agg(F.sum("n_records")).first()[0]

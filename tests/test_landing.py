@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from reqmill.operators.landing import apply_mapping, dropped_columns
+from reqmill.operators.landing import apply_mapping, dropped_columns, land_lines
 from reqmill.schema import FIELD_NAMES, LINEAGE, canonical_fields
 from reqmill.sources import batch_files, slices, tables
 from workload import dialects as D
@@ -27,6 +27,68 @@ def test_rename_drop_stamp(spark):
     assert dropped_columns(df, columns) == ["ROW_CHECKSUM"]
 
 
+def test_a_write_that_dies_leaves_the_batch(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    tables.replace_batch(landing(spark, "2024-01-15", ["1", "2"]), path, "2024-01-15")
+    bad = F.when(F.col("request_id") == "4", F.raise_error(F.lit("gone"))).otherwise(F.col("city"))
+    with pytest.raises(Exception, match="gone"):
+        tables.replace_batch(landing(spark, "2024-01-15", ["3", "4"]).withColumn("city", bad), path, "2024-01-15")
+    assert sorted(r.request_id for r in tables.read_landing(spark, path).collect()) == ["1", "2"]
+
+
+def test_counts_come_from_the_write(spark, tmp_path, monkeypatch):
+    """Nothing is read back to be counted."""
+    monkeypatch.setattr(tables, "read_landing", None)
+    assert tables.replace_batch(landing(spark, "2024-01-15", map(str, range(1000))).repartition(7), str(tmp_path), "2024-01-15") == 1000
+    frames = {"a": spark.range(30).repartition(3), "none": spark.range(0), "sorted": spark.range(20).orderBy(F.desc("id"))}
+    counts = tables.export_tables(frames, str(tmp_path / "out"))
+    assert {r.table: r.rows for r in counts.collect()} == {"a": 30, "none": 0, "sorted": 20}
+
+
+def write_files(folder, files):
+    for system, name, text in files:
+        (folder / f"dt=2024-01-15/source_system={system}").mkdir(parents=True, exist_ok=True)
+        (folder / f"dt=2024-01-15/source_system={system}/{name}.csv").write_text(text)
+
+
+def test_one_scan_reads_all_systems(spark, tmp_path):
+    """Files with headers of their own, in another order, with quotes and line breaks, a
+    short line, a repeated column, and one without rows."""
+    write_files(tmp_path, [
+        ("a", "one", 'SR_NUMBER,AGCY,BORO\n1,NYPD,"BRONX, N"\n2,"say ""x""\nthere",\n'),
+        ("a", "two", "BORO,SR_NUMBER\nQUEENS,3\n"),
+        ("b", "one", "id,city,note,city\n4,Rome,n,Oslo\nid,city,note,city\n5\n"),
+        ("c", "none", "id,city\n")])
+    lines = batch_files.read_day(spark, str(tmp_path), "2024-01-15", width=8)
+    headers = batch_files.file_headers(lines)
+    assert sorted(map(tuple, batch_files.system_headers(headers).collect())) == [
+        ("a", 0, "BORO"), ("a", 0, "SR_NUMBER"), ("a", 1, "AGCY"), ("b", 0, "id"), ("b", 1, "city"), ("b", 2, "note"), ("c", 0, "id"), ("c", 1, "city")]
+    decided = [("a", "SR_NUMBER", "request_id"), ("a", "AGCY", "agency_code"), ("a", "BORO", "borough"), ("b", "id", "request_id"),
+               ("b", "city", "city"), ("b", "note", None), ("c", "id", "request_id")]
+    decisions = spark.createDataFrame(decided, "source_system string, source_column string, canonical_field string")
+    landed = land_lines(lines, headers, decisions, "2024-01-15", "b1", "now")
+    assert landed.columns == FIELD_NAMES + LINEAGE
+    got = sorted((r._source_system, r.request_id, r.agency_code, r.borough, r.city) for r in landed.collect())
+    assert got == [("a", "1", "NYPD", "BRONX, N", None), ("a", "2", 'say "x"\nthere', "", None), ("a", "3", None, "QUEENS", None),
+                   ("b", "4", None, None, "Rome"), ("b", "5", None, None, ""), ("b", "id", None, None, "city")]
+    with pytest.raises(Exception, match="more than 2 columns"):
+        batch_files.read_day(spark, str(tmp_path), "2024-01-15", width=2)
+    with pytest.raises(FileNotFoundError):
+        batch_files.read_day(spark, str(tmp_path), "2024-01-16")
+
+
+def test_two_hundred_systems_are_one_plan(spark, tmp_path):
+    def plan(n):
+        write_files(tmp_path / str(n), [(f"s{i:03d}", "f", f"key {i},city\n{i},c{i}\n") for i in range(n)])
+        lines = batch_files.read_day(spark, str(tmp_path / str(n)), "2024-01-15", width=4)
+        decisions = spark.createDataFrame([(f"s{i:03d}", f"key {i}", "request_id") for i in range(n)],
+                                          "source_system string, source_column string, canonical_field string")
+        landed = land_lines(lines, batch_files.file_headers(lines), decisions, "2024-01-15", "b1")
+        assert sorted(int(r.request_id) for r in landed.collect()) == list(range(n))
+        return len(landed._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert plan(200) == plan(3)
+
+
 def test_samples_skip_blanks(spark):
     df = spark.createDataFrame([(1, ""), (2, "  "), (3, "\t"), (4, "real"), (5, "also real"), (6, "late")],
                                "k int, col string")

@@ -139,63 +139,6 @@ def test_most_frequent_name(spark):
     assert got == {"A": ("y", 3), "B": ("p", 2), "C": ("UNKNOWN", 2)}
 
 
-def _ids(fact):
-    return {r.request_id: (str(r.created_date), r.batch_id) for r in fact.collect()}
-
-
-def test_incremental_fact(spark, tmp_path):
-    fact = models.FactTable(spark, str(tmp_path / "fact"))
-    rows = [("1", "2024-01-01", "", "2024-01-01", "2024-01-01", "a", "b1"),
-            ("2", "2024-01-02", "", "2024-01-02", "2024-01-02", "a", "b2")]
-    fact.update(models.stage(landed(spark, rows)))
-    assert _ids(fact.read()) == {"1": ("2024-01-01", "b1"), "2": ("2024-01-02", "b2")}
-    assert fact.mark() == dt.date(2024, 1, 2)
-
-    # '1' comes again with another creation date.
-    rows += [("1", "2024-01-05", "", "2024-01-03", "2024-01-03", "a", "b3"),
-             ("3", "2024-01-02", "", "2024-01-03", "2024-01-03", "a", "b3")]
-    for _ in range(2):   # the second time changes nothing
-        fact.update(models.stage(landed(spark, rows)))
-        assert _ids(fact.read()) == {"1": ("2024-01-05", "b3"), "2": ("2024-01-02", "b2"),
-                                     "3": ("2024-01-02", "b3")}
-
-    # A late batch lands below the mark: skipped, unless asked for.
-    rows.append(("4", "2024-01-01", "", "2024-01-01", "2024-01-09", "a", "late"))
-    fact.update(models.stage(landed(spark, rows)))
-    assert "4" not in _ids(fact.read())
-    fact.update(models.stage(landed(spark, rows)), reprocess_from=dt.date(2024, 1, 1))
-    assert _ids(fact.read())["4"] == ("2024-01-01", "late")
-
-
-@pytest.mark.parametrize("step", ["_write", "_commit", "_remove_old", "partly written"])
-def test_an_interrupted_update_can_be_repeated(spark, tmp_path, monkeypatch, step):
-    """A backlog of two batches; the run dies before or after each step."""
-    rows = [("1", "2024-01-01", "", "2024-01-10", "2024-01-10", "a", "b10")]
-    fact = models.FactTable(spark, str(tmp_path / "fact"), buckets=4)
-    fact.update(models.stage(landed(spark, rows)))
-    rows += [("2", "2024-01-02", "", "2024-01-11", "2024-01-11", "a", "b11"),
-             ("3", "2024-01-03", "", "2024-01-12", "2024-01-12", "a", "b12")]
-    staged = models.stage(landed(spark, rows))
-    if step == "partly written":
-        folder = tmp_path / "fact" / "parts" / "v=000000000002" / "_bucket=0"
-        staged.limit(1).write.parquet(str(folder))
-        (tmp_path / "fact" / "commits" / "_000000000002").write_text("{")
-    else:
-        with monkeypatch.context() as patch:
-            def die(*args):
-                raise OSError("gone")
-            patch.setattr(fact, step, die)
-            with pytest.raises(OSError, match="gone"):
-                fact.update(staged)
-        done = {"1", "2", "3"} if step == "_remove_old" else {"1"}
-        assert set(_ids(fact.read())) == done and fact.mark() == dt.date(2024, 1, 12 if len(done) > 1 else 10)
-    for _ in range(3):
-        fact.update(staged)
-        assert _ids(fact.read()) == {"1": ("2024-01-01", "b10"), "2": ("2024-01-02", "b11"), "3": ("2024-01-03", "b12")}
-    kept = {(v.name, b.name) for v in (tmp_path / "fact" / "parts").iterdir() for b in v.glob("_bucket=*")}
-    assert len(list((tmp_path / "fact" / "commits").glob("0*"))) == 2 and len(kept) <= 6
-
-
 def test_filtering_keys_first_changes_nothing(spark):
     rng = random.Random(9)
     days = [f"2024-01-{d:02d}" for d in range(1, 15)]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reqmill.session import apply_defaults, shared_dir, ship_package
+from reqmill.sources import tables
 from workload import dialects as D
 
 
@@ -87,11 +88,18 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
             .selectExpr(*[f"{sql} as {name}" for name, sql in LANDED.items()]))
 
 
+_landings: dict[tuple[str, str], str] = {}
+
+
 def stored_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landed rows as a table, which is what a run builds its models from."""
-    path = f"{shared_dir(spark)}/landing"
-    landed(spark, sf_dir).write.parquet(path)
-    return spark.read.parquet(path)
+    """The landed rows as the table that a run builds its models from, partitioned by
+    batch date. It is an input: a session writes it once for each set of tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _landings:
+        path = f"{shared_dir(spark)}/landing"
+        tables.replace_batches(landed(spark, sf_dir), path)
+        _landings[key] = path
+    return tables.read_landing(spark, _landings[key])
 
 
 # Orders in the shape the source serves: all strings, source column names.

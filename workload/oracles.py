@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from reqmill.operators.mapping import PHRASES
-from reqmill.schema import BOROUGHS, FIELD_NAMES, LINEAGE, SOURCE_SYSTEMS, STATUSES
+from reqmill.schema import BOROUGHS, FIELD_NAMES, FIELDS, LINEAGE, SOURCE_SYSTEMS, STATUSES
 from workload import dialects as D
 from workload import inputs as I
-from workload.registry import CUT, DAY, NOW
+from workload.registry import BACKFILL_DAYS, BACKFILL_FIRST, CUT, DAY, NOW
 
 ORACLES: dict[str, str] = {}
 
@@ -75,15 +75,17 @@ staged as (
 STAGED_COLUMNS = FIELD_NAMES + ["source_system", "batch_date", "batch_id", "ingested_at"]
 
 
-def _dedup(name: str, source: str) -> str:
-    """The row that is first in the order of newest ingest, newest batch, system, batch."""
+def _dedup(name: str, source: str, also: str = "") -> str:
+    """The row that is first in the order of newest ingest, newest batch, system, batch,
+    for each request, and for each value of another column if there is one."""
+    also = also and f"{also}, "
     row = "{" + ", ".join(f"'{c}': {c}" for c in STAGED_COLUMNS) + "}"
     last = "9223372036854775807"
     order = ("{" + f"'i': coalesce(-epoch_us(ingested_at), {last}), 'd': coalesce(-epoch_us(batch_date::timestamp), {last}), "
              "'s': source_system, 'b': batch_id}")
     return f"""{name}_folded as (
-  select arg_min({row}, {order}) as newest, count(*) as landings from {source} group by request_id),
-{name} as (select unnest(newest), landings > 1 as was_relanded from {name}_folded)"""
+  select {also}arg_min({row}, {order}) as newest, count(*) as landings from {source} group by {also}request_id),
+{name} as (select {also}unnest(newest), landings > 1 as was_relanded from {name}_folded)"""
 
 
 FACT_ORDER = """request_id, created_at, closed_at, created_date, agency_code, complaint_type, descriptor,
@@ -113,16 +115,30 @@ def _dim(name: str, source: str) -> str:
 
 
 def _daily(name: str, source: str) -> str:
-    return f"""{name}_named as (select * replace (ifnull(borough, 'UNSPECIFIED') as borough) from {source}),
+    """From counted types and counted hours of each day, borough and agency. Fixed values:
+    the column names."""
+    cell = "created_date, borough, agency_code"
+    return f"""{name}_rows as (
+  select created_date, coalesce(borough, 'UNSPECIFIED') as borough, agency_code, complaint_type, resolution_hours, is_closed
+  from {source}),
+{name}_types as (
+  select {cell}, count(*) as n, sum(case when is_closed then 1 else 0 end) as closed, count(distinct complaint_type) as kinds
+  from {name}_rows group by {cell}),
+{name}_ranked as (
+  select {cell}, resolution_hours as h, row_number() over (partition by {cell} order by resolution_hours) as place,
+         count(*) over (partition by {cell}) as n
+  from {name}_rows where resolution_hours is not null),
+{name}_hours as (
+  select {cell}, sum(h) / count(*) as mean_h, max(h) as most,
+         avg(case when place in ((n + 1) // 2, n // 2 + 1) then h end) as middle
+  from {name}_ranked group by {cell}),
 {name} as (
-  select created_date, borough, agency_code, count(*) as requests_opened,
-         count(*) filter (is_closed) as requests_closed,
-         round((count(*) filter (is_closed))::double / count(*), 4) as closure_rate,
-         round(mean(resolution_hours), 3) as avg_resolution_hours,
-         round(quantile_cont(resolution_hours, 0.5), 3) as median_resolution_hours,
-         max(resolution_hours) as max_resolution_hours,
-         len(list_distinct(list(complaint_type))) as distinct_complaint_types
-  from {name}_named group by all)"""
+  select t.created_date, t.borough, t.agency_code, t.n as requests_opened, t.closed::bigint as requests_closed,
+         round(t.closed / t.n::double, 4) as closure_rate, round(mean_h, 3) as avg_resolution_hours,
+         round(middle, 3) as median_resolution_hours, most as max_resolution_hours, kinds as distinct_complaint_types
+  from {name}_types t left join {name}_hours x
+    on x.created_date is not distinct from t.created_date and x.borough = t.borough
+   and x.agency_code is not distinct from t.agency_code)"""
 
 
 DEDUPED = STAGED + ",\n" + _dedup("deduped", "staged")
@@ -136,6 +152,10 @@ def add(name: str, ctes: str, body: str) -> None:
 # --- model chain ----------------------------------------------------------
 
 add("daily_sla", FACT + ",\n" + _daily("daily", "fact"), "select * from daily")
+add("sketch_months", FACT, """
+select cast(date_trunc('month', created_date) as date) as month, coalesce(borough, 'UNSPECIFIED') as borough, count(*) as requests_opened,
+       count(*) filter (is_closed) as requests_closed, count(resolution_hours) as timed, true as median_in_bounds, true as types_in_bounds
+from fact group by all""")
 add("fact_requests", FACT, "select * from fact")
 add("stg_typed", STAGED, "select * from staged")
 add("dedup_latest", DEDUPED, "select * from deduped")
@@ -162,6 +182,28 @@ incoming as (select * from all_fact where batch_date >= date '{CUT}')""",
     """select * from old_fact where request_id not in (select request_id from incoming)
 union all select * from incoming""")
 
+_DAYS = f"""days as (
+  select cast(date '{BACKFILL_FIRST}' + i::int as date) as day from range({BACKFILL_DAYS}) as r(i)),
+seen as (select day, staged.* from days join staged on batch_date <= day),
+""" + _dedup("held", "seen", "day")
+add("backfill_fact", STAGED + ",\n" + _DAYS + f""",
+states as (
+  select request_id, source_system, batch_date, batch_id, ingested_at, was_relanded, created_at, closed_at, status,
+         min(day) as valid_from, max(day) as until from held group by all)""", f"""
+select request_id, batch_id, batch_date, created_at::date as created_date, status, closed_at is not null as is_closed, was_relanded,
+       valid_from, case when until < date '{BACKFILL_FIRST}' + {BACKFILL_DAYS - 1} then cast(until + 1 as date) end as valid_to
+from states""")
+add("backfill_funnel", STAGED + ",\n" + _DAYS + """,
+rows_of as (select day, count(*) as n from seen group by day),
+held_of as (
+  select day, count(*) as n, count(distinct agency_code) as agencies,
+         count(distinct (coalesce(created_at::date::varchar, '-'), coalesce(borough, 'UNSPECIFIED'), agency_code)) as cells
+  from held group by day)""", """
+select day as batch_date, stage, case when stage in ('1_landed', '2_staged') then r.n when stage in ('3_deduped', '4_fact') then a.n
+       when stage = '5_daily_mart' then cells else agencies end as rows
+from rows_of r join held_of a using (day)
+cross join (values ('1_landed'), ('2_staged'), ('3_deduped'), ('4_fact'), ('5_daily_mart'), ('5_agency_dim')) as s(stage)""")
+
 # --- landing --------------------------------------------------------------
 
 _YEARLY = LANDED + f""",
@@ -249,6 +291,11 @@ union all select 'no_such_table', -1""")
 add("export_counts", FACT, """select 'fact' as table, count(*) as rows from fact
 union all select 'complaints', count(distinct complaint_type) from fact""")
 add("snapshot_table", FACT, "select status, count(*) as requests from fact group by status")
+add("live_table", FACT, "select borough, count(*) as requests from fact group by borough")
+add("schema_tables", FACT, """select 'staging' as schema, count(*) as rows from fact
+union all select 'analytics', count(distinct status) from fact union all select 'raw', -1""")
+add("empty_days", """d as (select cast(date '1998-07-20' + (30 * i)::int as date) as day from range(6) as r(i))""",
+    """select day, not exists (select 1 from orders where cast(o_orderdate as date) = day) as refused from d""")
 add("latest_batch_rows", FACT, """select request_id, agency_code, batch_date from fact
 where batch_date = (select max(batch_date) from fact)""")
 
@@ -382,6 +429,11 @@ add("map_flatten", GOLD, """select source_system, source_column, canonical_field
   cast(confidence as double) as confidence from gold""")
 add("decision_log", GOLD, """select method, count(*) as columns, 2 * count(*) as logged
 from gold group by method""")
+_UNITS = "sum(round(confidence * 10000))::bigint as units"
+add("log_shapes", GOLD, f"""select true as readable, 0 as shape, method, count(*) as lines, count(canonical_field) as mapped, {_UNITS}
+from gold group by method
+union all select true, 1, method, count(*), count(canonical_field), {_UNITS} from gold where source_column <> 'city' group by method
+union all select false, -1, '-', count(*), 0, null from gold where source_column = 'city' having count(*) > 0""")
 _INITCAP = "array_to_string(list_transform(string_split({0}, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
 _PART_HEADER = I.PART_HEADER.replace("initcap(p_name)", _INITCAP.format("p_name"))
 PARTS = f"""parts as (
@@ -403,6 +455,9 @@ lines as (select count(*) as rows_read, count(*) filter (l_linestatus = 'F') as
   count(*) filter (proposal_outcome = 'low') as proposals_low, any_value(rows_read) as rows_read,
   any_value(rows_loaded) as rows_loaded, count(distinct source_system)::int as entries
 from proposed, lines""")
+add("schema_fields", LANDED, "\nunion all ".join(
+    f"select '{f.name}' as field, '{f.dtype}' as type, {str(f.required).lower()} as required, {i} as ordinal, "
+    f"count(nullif(trim({f.name}), '')) as filled from landed" for i, f in enumerate(FIELDS)))
 add("override_listing", _feeds("o", D.OVERRIDES, "dialect, source_column, canonical_field"),
     "select source_system, source_column, canonical_field from o")
 
@@ -480,6 +535,10 @@ _TOTALS = """count(*) as tests_total, count(*) filter (where status = 'pass') as
   round(count(*) filter (where status = 'pass') * 1.0 / count(*), 4) as test_pass_rate"""
 add("check_summary", SUITE, f"""select {_TOTALS},
   string_agg(test, ',' order by test) filter (where status <> 'pass') as failing_tests from results""")
+add("gate_outcome", SUITE + f""",
+totals as (select {_TOTALS}, string_agg(test, ',' order by test) filter (where status <> 'pass') as failing_tests from results)""",
+    """select 'all' as model, tests_failed + tests_errored > 0 as stopped, case when tests_failed + tests_errored > 0
+  then tests_failed || ' failed, ' || tests_errored || ' errored: ' || failing_tests else '' end as message from totals""")
 add("failing_checks", SUITE, """select test as "check", failures as failing_rows from results where status <> 'pass'""")
 add("test_outcomes", SUITE, "select type, status, count(*) as tests from results group by type, status")
 add("stage_funnel", CHAIN, "\nunion all ".join(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,9 @@ from reqmill.functions import scalars as S
 from reqmill.operators import checks as Q
 from reqmill.operators import mapping as M
 from reqmill.operators.landing import apply_mapping, merge_by_key, union_systems
-from reqmill.plans import models, serving
-from reqmill.schema import SOURCE_SYSTEMS
+from reqmill.plans import backfill, models, serving
+from reqmill.plans.fact_table import FactTable
+from reqmill.schema import FIELD_NAMES, SOURCE_SYSTEMS, canonical_fields
 from reqmill.session import shared_dir
 from reqmill.sources import batch_files, slices, tables
 from workload import dialects as D
@@ -27,6 +29,7 @@ QUERIES: dict[str, Query] = {}
 NOW = "2000-06-30 12:00:00"
 DAY = dt.date(2024, 1, 15)
 CUT = dt.date(1999, 1, 1)
+BACKFILL_FIRST, BACKFILL_DAYS = dt.date(1998, 6, 1), 14
 
 
 def query(fn: Query) -> Query:
@@ -86,6 +89,25 @@ def daily_sla_approx(spark, d):
         *key, "requests_opened", F.coalesce(close, F.col("low").isNull()).alias("median_in_bounds"))
 
 
+@query
+def sketch_months(spark, d):
+    """Months and boroughs from the sketches of the daily mart: counts, whether the median
+    lies between the exact hundredths around the middle, and whether the number of
+    complaint types is within a twentieth."""
+    month = F.trunc("created_date", "month").alias("month")
+    fact = _fact(spark, d).withColumn("borough", F.coalesce("borough", F.lit("UNSPECIFIED")))
+    path = f"{shared_dir(spark)}/sketched"
+    models.daily_sketches(fact).write.parquet(path)
+    at = "percentile_disc({}) within group (order by resolution_hours)"
+    exact = fact.groupBy(month, "borough").agg(F.expr(at.format(0.47)).alias("low"), F.expr(at.format(0.53)).alias("high"),
+                                               F.count_distinct("complaint_type").alias("types"))
+    median, types = F.col("median_resolution_hours"), F.col("complaint_types")
+    return models.sketch_totals(spark.read.parquet(path), month, "borough").join(exact, ["month", "borough"]).select(
+        "month", "borough", "requests_opened", "requests_closed", "timed",
+        F.coalesce(median.between(F.col("low"), F.col("high")), median.isNull() & F.col("low").isNull()).alias("median_in_bounds"),
+        (20 * F.abs(types - F.col("types")) <= F.col("types")).alias("types_in_bounds"))
+
+
 @query
 def fact_requests(spark, d):
     return _fact(spark, d)
@@ -126,12 +148,33 @@ def code_dim(spark, d):
 def incremental_fact(spark, d):
     """The fact after a first load of the batches before a date, then an update."""
     staged = models.stage(I.stored_landing(spark, d))
-    fact = models.FactTable(spark, f"{shared_dir(spark)}/fact")
+    fact = FactTable(spark, f"{shared_dir(spark)}/fact")
     fact.update(staged.where(F.col("batch_date") < F.lit(CUT)))
     fact.update(staged)
     return fact.read()
 
 
+def _backfill(spark, d):
+    staged = models.stage(I.landed(spark, d))
+    return staged, backfill.fact_versions(staged, BACKFILL_FIRST, BACKFILL_DAYS)
+
+
+@query
+def backfill_fact(spark, d):
+    """Every row that the fact holds after the runs of fourteen days, and from and to when."""
+    return _backfill(spark, d)[1].select("request_id", "batch_id", "batch_date", "created_date", "status", "is_closed", "was_relanded",
+                                         "valid_from", "valid_to")
+
+
+@query
+def backfill_funnel(spark, d):
+    """Rows of every stage after the run of each of the fourteen days."""
+    staged, history = _backfill(spark, d)
+    path = f"{shared_dir(spark)}/history"  # read once for each kind of group
+    history.write.parquet(path)
+    return backfill.funnel_by_day(staged, spark.read.parquet(path), BACKFILL_FIRST, BACKFILL_DAYS)
+
+
 @query
 def changed_requests(spark, d):
     """Rows an update takes up, with the keys filtered before ranking."""
@@ -269,6 +312,45 @@ def snapshot_table(spark, d):
         tables.load_named(spark, "unknown", {}, root, schema))
 
 
+@query
+def live_table(spark, d):
+    """A report whose relation exists is read from it, not from its snapshot."""
+    root, schema = shared_dir(spark), "borough string, requests bigint"
+    tables.export_tables({"borough_mix": spark.createDataFrame([], schema)}, root)
+    _fact(spark, d).createOrReplaceTempView("live_requests")
+    live = {"borough_mix": "select borough, count(*) as requests from live_requests group by borough"}
+    return tables.load_named(spark, "borough_mix", live, root, schema, "live_requests")
+
+
+@query
+def schema_tables(spark, d):
+    """Tables saved in schemas that were made if they were missing, and one that is not there."""
+    tables.ensure_schemas(spark)
+    fact, tag = _fact(spark, d), uuid.uuid4().hex
+    stored = {"staging": fact, "analytics": fact.groupBy("status").count()}
+    for schema, df in stored.items():
+        df.write.saveAsTable(f"{schema}.t_{tag}")
+    found = [(schema, tables.row_count(spark, f"{schema}.t_{tag}")) for schema in (*stored, "raw")]
+    for schema in stored:
+        spark.sql(f"DROP TABLE {schema}.t_{tag}")
+    return spark.createDataFrame(found, "schema string, rows bigint")
+
+
+@query
+def empty_days(spark, d):
+    """Days of the year whose batch is refused because no request was opened on them."""
+    path, first = f"{shared_dir(spark)}/orders", dt.date(1998, 7, 20)
+    I.table(spark, d, "orders").select("o_orderkey", "o_orderdate").write.parquet(path)
+    orders, out = spark.read.parquet(path), []
+    for day in (first + dt.timedelta(days=30 * k) for k in range(6)):
+        try:
+            batch_files.require_rows(slices.day_slice(orders, "o_orderdate", day, ["o_orderkey"]), str(day))
+            out.append((day, False))
+        except batch_files.EmptyBatch:
+            out.append((day, True))
+    return spark.createDataFrame(out, "day date, refused boolean")
+
+
 @query
 def decision_log(spark, d):
     """Decisions appended by two runs; the last run is counted."""
@@ -282,6 +364,23 @@ def decision_log(spark, d):
         log.groupBy("method").agg(F.count("*").alias("logged")), "method")
 
 
+@query
+def log_shapes(spark, d):
+    """A log of today's lines, of the lines that an older version would have written, and
+    of lines that broke off: how many of each, by method."""
+    path, decisions = f"{shared_dir(spark)}/log", _decisions(spark, d)
+    tables.append_decisions(decisions, f"{path}/new", str(DAY), "b2")
+    older = decisions.select(
+        F.struct(F.lit(str(DAY)).alias("date"), F.lit("b1").alias("id")).alias("run"), F.col("source_system").alias("system"),
+        F.col("source_column").alias("header"),
+        F.struct(F.col("canonical_field").alias("field"), F.col("method").alias("tier"), F.col("confidence").cast("string").alias("score")).alias("decision"))
+    lines = older.select(F.to_json(F.struct("*")).alias("value"), "header")
+    lines.select(F.when(F.col("header") == "city", F.expr("left(value, 40)")).otherwise(F.col("value"))).write.text(f"{path}/old")
+    log = tables.read_log_lines(spark, path)
+    return log.groupBy("readable", F.coalesce("shape", F.lit(-1)).alias("shape"), F.coalesce("method", F.lit("-")).alias("method")).agg(
+        F.count("*").alias("lines"), F.count("canonical_field").alias("mapped"), F.sum(F.round(F.col("confidence") * 10000).cast("bigint")).alias("units"))
+
+
 @query
 def summary_round_trip(spark, d):
     path = f"{shared_dir(spark)}/summary"
@@ -416,8 +515,7 @@ def map_flatten(spark, d):
 
 @query
 def fuzzy_candidates(spark, d):
-    # Scoring costs far more than dealing the addresses out evenly.
-    pages = I.table(spark, d, "pages").select("page_id", F.col("url").alias("source_column")).repartition("page_id")
+    pages = I.table(spark, d, "pages").select("page_id", F.col("url").alias("source_column"))
     return M.fuzzy_candidates(pages, top_n=3)
 
 
@@ -472,6 +570,14 @@ def rollup_with_rows(spark, d):
         F.size("sources").alias("entries"))
 
 
+@query
+def schema_fields(spark, d):
+    """The canonical schema, with how many landed rows fill each field."""
+    filled = I.landed(spark, d).agg(*[F.count(F.nullif(F.trim(c), F.lit(""))).alias(c) for c in FIELD_NAMES])
+    counts = filled.unpivot([], FIELD_NAMES, "field", "filled")
+    return serving.schema_listing(canonical_fields(spark)).join(counts, "field").select("field", "type", "required", "ordinal", "filled")
+
+
 @query
 def override_listing(spark, d):
     return serving.override_listing(I.feed_overrides(spark, d))
@@ -493,6 +599,19 @@ def check_summary(spark, d):
     return Q.summarize(_results(spark, d))
 
 
+@query
+def gate_outcome(spark, d):
+    """Whether the checks stop the run, and what the gate says."""
+    path = f"{shared_dir(spark)}/summary"
+    Q.summarize(_results(spark, d)).write.parquet(path)
+    try:
+        Q.gate(spark.read.parquet(path))
+        outcome = ("all", False, "")
+    except Q.QualityGateError as error:
+        outcome = ("all", True, str(error))
+    return spark.createDataFrame([outcome], "model string, stopped boolean, message string")
+
+
 @query
 def failing_checks(spark, d):
     return serving.failing_checks(_results(spark, d))
