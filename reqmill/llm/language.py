@@ -166,8 +166,10 @@ def train(docs: DataFrame, learn: Column, per_lang: int = PER_LANG) -> Network:
                                               "lang": pa.array(langs, pa.string()), "part": pa.array(parts, pa.binary())})
 
     texts = known.select("doc_id", "lang", F.col("text").cast("binary").alias("text"))
-    rows = sorted(texts.join(F.broadcast(chosen), ["doc_id", "lang"])
-                  .mapInArrow(run, f"{kind}, lang string, part binary").collect())
+    # Rows that repeat an id and lang are one document, with the smallest text hash.
+    once = (texts.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang")
+            .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text")))
+    rows = sorted(once.mapInArrow(run, f"{kind}, lang string, part binary").collect())
     if not rows:
         return fit(np.zeros((0, LENGTH), np.int16), [])
     return fit(np.concatenate([windows(r.part) for r in rows]), [r.lang for r in rows])

@@ -23,14 +23,16 @@ from reqmill.llm.base import SPACES
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
 
-# Bit of each rule, by its place in this table: failed where the condition holds.
+# Bit of each rule, by its place in this table: failed where the condition holds. A stored
+# ledger goes by these places: rules are added at the end and never changed.
 RULES = {
     "few_words": "n_words < 50",
     "repeated_words": "100 * n_repeat_words > 50 * n_words",
     "symbols": "10 * n_symbols > n_words",
-    "repeated_lines": "n_dup_lines > 2 and 10 * n_dup_lines > 3 * n_lines",
+    "repeated_lines": "10 * n_dup_lines > 3 * n_lines",
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 12 * n_words",
+    "many_repeated_lines": "n_dup_lines > 2 and 10 * n_dup_lines > 3 * n_lines",
 }
 BASE = ("few_words", "repeated_words")
 
@@ -51,7 +53,8 @@ class Policy:
 POLICIES = [
     Policy("base", 1, BASE),
     Policy("prose", 1, (*BASE, "symbols", "repeated_lines")),
-    Policy("prose", 2, tuple(RULES)),
+    Policy("prose", 2, (*BASE, "symbols", "repeated_lines", "short_words", "long_words")),
+    Policy("prose", 3, (*BASE, "symbols", "short_words", "long_words", "many_repeated_lines")),
 ]
 
 

@@ -31,6 +31,7 @@ from reqmill.llm.base import map_texts
 # Labelled documents of each class that the model is fitted on, at most: those with the
 # smallest hashes of their ids. The driver holds their texts.
 PER_CLASS = 2_500
+LONGEST = 50_000  # characters of a text to learn from; longer ones are scored only
 TABLE = 1 << 18  # hashed weights
 CHOOSING, FITTING = 12, 60  # passes over the documents
 BATCH = 256
@@ -165,18 +166,26 @@ def fit(texts: list[str], labels: list[int], seed: int = 7) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_CLASS) -> Model:
-    """Fit on labelled documents for which `learn` (of doc_id) holds, at most per_class
-    of each label. A doc_id with labels that differ counts as toxic."""
+    """Fit on labelled ones among docs for which `learn` (of doc_id) holds, at most
+    per_class of each label, of LONGEST characters at most. A doc_id with labels that
+    differ counts as toxic; of several texts of an id the one with the smallest hash is
+    read. Without documents of both labels every score says the one there is, and 0
+    without any."""
     label = labels.where(learn & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     label = label.select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"), F.xxhash64("doc_id").alias("_order"))
-    # Ranked by two bounded sorts of ids alone: no text is shuffled for rows not chosen.
+    # Only labels of documents that are here count. No text is shuffled for that.
+    short = docs.where(F.length(F.coalesce("text", F.lit(""))) <= LONGEST)
+    label = label.join(short.select("doc_id"), "doc_id", "left_semi")
+    # Two bounded sorts of ids alone.
     chosen = label.where("toxic = 0").orderBy("_order", "doc_id").limit(per_class).unionByName(
         label.where("toxic = 1").orderBy("_order", "doc_id").limit(per_class))
     ids = {r.doc_id: r.toxic for r in chosen.select("doc_id", "toxic").collect()}  # 2 * per_class at most
     small = docs.sparkSession.createDataFrame(list(ids.items()), labels.select("doc_id", F.col("toxic").cast("int")).schema)
-    rows = docs.select("doc_id", "text").join(F.broadcast(small), "doc_id").dropDuplicates(["doc_id"]).collect()
+    text = F.coalesce("text", F.lit(""))
+    rows = (short.select("doc_id", text.alias("text")).join(F.broadcast(small), "doc_id")
+            .groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text")).collect())
     rows.sort(key=lambda r: r.doc_id)
-    return fit([r.text or "" for r in rows], [ids[r.doc_id] for r in rows])
+    return fit([r.text for r in rows], [ids[r.doc_id] for r in rows])
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

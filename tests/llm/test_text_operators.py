@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -64,6 +65,36 @@ def test_toxicity_odd_rows(spark, tox):
     assert toxicity.train(docs, repeated, F.col("doc_id") % 5 != 0).bias == pytest.approx(model.bias)
 
 
+def test_scores_are_the_noisy_or_of_the_table(spark, tox):
+    """Every factor written out: features from the model's table, sentences, documents."""
+    model, docs, _ = tox
+    texts = {r.doc_id: r.text for r in docs.where("doc_id % 7 = 0").collect()} | {1000 + i: t or "" for i, (_, t) in enumerate(samples.ODD) if t != samples.LONG}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for r in toxicity.score(frame, model).collect():
+        clean = 1.0
+        for part in [p for p in re.split("[.!?\n]", texts[r.doc_id]) if p.strip()] or [""]:
+            z = model.bias
+            for word in set(part.lower().split()):
+                raw = word.strip(toxicity.EDGES).encode()
+                places = [zlib.crc32(raw + b"=") % toxicity.TABLE] if raw else []
+                places += [zlib.crc32(raw[:n]) % toxicity.TABLE for n in range(4, min(len(raw), 8) + 1)]
+                z += sum(float(model.weights[p]) for p in places)
+            clean *= 1 - 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        assert r.score == pytest.approx(1 - clean, abs=1e-9)
+
+
+def test_only_labels_of_documents_that_are_here_teach(spark, tox):
+    """However many labels other documents have, and whatever texts repeat an id."""
+    model, docs, labels = tox
+    learn = F.col("doc_id") % 5 != 0
+    absent = spark.range(10_000, 40_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), (F.col("id") % 2).cast("int").alias("toxic"))
+    again = toxicity.train(docs, labels.unionByName(absent), learn)
+    assert again.bias == pytest.approx(model.bias) and np.array_equal(again.known, model.known)
+    twice = docs.unionByName(docs.where("doc_id = 1").withColumn("text", F.lit("another text")))
+    one, two = toxicity.train(twice, labels, learn), toxicity.train(twice.orderBy(F.desc("text")), labels, learn)
+    assert one.bias == two.bias and np.array_equal(one.weights, two.weights)
+
+
 def test_noisy_or():
     assert toxicity.noisy_or(iter([0.5, 0.5])) == pytest.approx(0.75) and toxicity.noisy_or(iter([])) == 0
     assert toxicity.sentences("") == [(0, 0)] and toxicity.sentences("a. b") == [(0, 1), (2, 4)]
@@ -194,6 +225,30 @@ def test_language_odd_rows(spark, net):
     assert {r.lang_pred for r in language.predict(samples.odd(spark), none).collect()} == {language.UND}
 
 
+def test_convolution_by_plain_loops(net):
+    rows = language.windows("the river walks über die Straße, l'été".encode() * 9)
+    got = language.logits(net, rows)
+    wide = max(language.WIDTHS)
+    for row, out in zip(rows, got):
+        vectors = [net.embed[b] for b in row] + [np.zeros(language.EMBED)] * (wide - 1)
+        top = np.full(net.conv.shape[1], -np.inf)
+        for at in range(language.LENGTH):
+            for k, width in enumerate(language.WIDTHS):
+                for f in range(k * language.FILTERS, (k + 1) * language.FILTERS):
+                    weights = net.conv[:, f].reshape(wide, language.EMBED)
+                    top[f] = max(top[f], sum(float(vectors[at + j] @ weights[j]) for j in range(width)))
+        hidden = np.maximum(top + net.bias, 0)
+        assert np.allclose(hidden @ net.out + net.out_bias, out, atol=1e-3)
+
+
+def test_repeated_rows_teach_once(spark):
+    texts = [(i, ["en", "de"][i % 2], t) for i, t in enumerate(samples.prose(30))]
+    once = spark.createDataFrame(texts, "doc_id long, lang string, text string")
+    many = once.unionByName(once.where("doc_id < 3").withColumn("_x", F.explode(F.sequence(F.lit(1), F.lit(200)))).drop("_x"))
+    one, two = language.train(once, everyone(0)), language.train(many, everyone(0))
+    assert np.array_equal(one.conv, two.conv) and np.array_equal(one.out, two.out)
+
+
 def test_every_byte_counts():
     raw = bytes(range(256)) * 3 + b"tail"
     rows = language.windows(raw)
@@ -231,7 +286,9 @@ def test_policies_and_ablations(spark):
             r = rows[p.name, p.version, rule]
             assert r.n_failed == sum(bool(f & bit) for f in failures)
             assert r.n_kept_without == sum(not f & p.mask & ~bit for f in failures)
-    assert quality_rules.latest("prose").version == 2
+    assert quality_rules.latest("prose").version == 3
+    masks = {(p.name, p.version): p.mask for p in quality_rules.POLICIES}
+    assert masks == {("base", 1): 0b11, ("prose", 1): 0b1111, ("prose", 2): 0b111111, ("prose", 3): 0b1110111}  # stored ledgers go by these
 
 
 # 6. Sharding.
@@ -315,6 +372,26 @@ def test_quality_odd_rows(spark, quality):
     assert (ones, none) == (1.0, 0.5)
 
 
+def test_fit_equals_one_solve_over_all_rows(spark):
+    """However the rows are dealt out."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, len(quality_model.STATS)))
+    y = (x[:, 0] + x[:, 1] ** 2 + 0.3 * rng.normal(size=400) > 0.7).astype(float)
+    frame = spark.createDataFrame([(r.tolist(), float(v)) for r, v in zip(x, y)], "stats array<double>, label double")
+    models = [quality_model.fit(frame.repartition(n)) for n in (1, 7, 40)]
+    for m in models:
+        z = np.clip((x - x.mean(0)) / x.std(0), -quality_model.CLIP, quality_model.CLIP)
+        waves = np.hstack([np.sqrt(2 / quality_model.FEATURES) * np.cos(z @ m.turns + m.phases), np.ones((400, 1))])
+        penalty = quality_model.RIDGE * 400 / quality_model.FEATURES * np.diag([1.0] * quality_model.FEATURES + [0.0])
+        weights = np.linalg.solve(waves.T @ waves + penalty, waves.T @ y)
+        assert np.allclose(waves @ weights, m.cosines(x) @ m.weights, atol=1e-6)
+        assert (np.diff(m.levels) >= 0).all()
+        scores = m.levels[m.bins(x)]
+        for level in np.unique(scores):  # a calibrated score is the share of ones that have it
+            assert y[scores == level].mean() == pytest.approx(level, abs=0.02) or (scores == level).sum() < 20
+    assert np.mean((models[0].levels[models[0].bins(x)] > 0.5) == y) > 0.9
+
+
 def test_isotonic_pools_what_falls():
     n, ones = np.array([2.0, 0, 2, 2, 0]), np.array([1.0, 0, 0, 2, 0])
     assert quality_model.isotonic(n, ones).tolist() == [0.25, 0.25, 0.25, 1.0, 1.0]
