@@ -1,6 +1,6 @@
 """The fact and its marts, brought up to date by what changed.
 
-Rows lie in partitions by the month of creation and a hash of the request id. A record
+Rows lie in partitions by the period of creation and a hash of the request id. A record
 of each partition says its rows and their first and last creation date, and a bitmap for
 each says which hashes of ids it may hold. So an update reads only the partitions that
 can hold one of its ids, and rewrites only those that lose or gain a row.
@@ -8,8 +8,8 @@ can hold one of its ids, and rewrites only those that lose or gain a row.
 What changes is a table of images: the row of a request before and after. The daily mart
 is kept as counted cells, from which medians and distinct counts are read; before-images
 count as -1 and after-images as +1, so only cells of changed rows are touched and only
-their months' cells are read. The agency table is kept as counts per month, code and
-name in the same way; a first or last date is looked up again only in the months where
+their periods' cells are read. The agency table is kept as counts per period, code and
+name in the same way; a first or last date is looked up again only in the periods where
 the row that held it went.
 
 The quality checks go the same way: a fold (operators/checks.py) is kept for each
@@ -34,7 +34,7 @@ from reqmill.plans.models import FIRST_DATE
 from reqmill.schema import FACT_COLUMNS
 from reqmill.sources.versions import Versions
 
-BY = ("_month", "_bucket")
+BY = ("_period", "_bucket")
 
 
 def _type(text: str) -> T.StructType:
@@ -48,36 +48,36 @@ def _type(text: str) -> T.StructType:
 
 
 FACT = _type(FACT_COLUMNS)
-ROWS = _type(f"{FACT_COLUMNS}, agency_name string, _month string, _bucket int")
+ROWS = _type(f"{FACT_COLUMNS}, agency_name string, _period string, _bucket int")
 REPEATS = _type("unique_field string, n_records bigint")
-KEYS = _type("word long, bits binary, _month string, _bucket int")
+KEYS = _type("word long, bits binary, _period string, _bucket int")
 CELLS = _type("created_date date, borough string, agency_code string, by_type boolean, complaint_type string, "
-              "hours double, n bigint, closed bigint, _month string")
+              "hours double, n bigint, closed bigint, _period string")
 DAILY = _type("created_date date, borough string, agency_code string, requests_opened bigint, requests_closed bigint, "
               "closure_rate double, avg_resolution_hours double, median_resolution_hours double, "
-              "max_resolution_hours double, distinct_complaint_types bigint, _month string")
-NAMES = _type("agency_code string, agency_name string, n bigint, closed bigint, first timestamp_ntz, last timestamp_ntz, _month string")
-
-
-def month_of(created_date: Column) -> Column:
-    return F.coalesce(F.date_format(created_date, "yyyy-MM"), F.lit("none"))
+              "max_resolution_hours double, distinct_complaint_types bigint, _period string")
+NAMES = _type("agency_code string, agency_name string, n bigint, closed bigint, first timestamp_ntz, last timestamp_ntz, _period string")
 
 
 def _partition(row) -> str:
-    return f"_month={row['_month']}/_bucket={row['_bucket']}"
+    return f"_period={row['_period']}/_bucket={row['_bucket']}"
 
 
-def _month(partition: str) -> str:
+def _period(partition: str) -> str:
     return partition.split("/")[0]
 
 
 class FactTable:
-    """`buckets` parts of a month, and `positions` for the ids of one part: about sixteen
-    a row let few other ids look as if they were there."""
+    """`grain` is the format of the creation date that names a period, a month or a year;
+    `buckets` are the parts of a period, and `positions` those of the bitmap of one part:
+    about sixteen a row let few other ids look as if they were there. All three go by how
+    many rows a period has, and stay as they are for the life of a table."""
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 8, positions: int = 1 << 20, checks: Sequence[Q.Check] = ()):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 1, positions: int = 1 << 20, checks: Sequence[Q.Check] = (),
+                 grain: str = "yyyy-MM"):
         self.spark, self.versions = spark, Versions(spark, path)
         self.buckets, self.positions = buckets, positions
+        self.grain = grain
         self.checks = [c for c in checks if c.model == "fact"]
 
     # What is there.
@@ -88,10 +88,10 @@ class FactTable:
         return None if record is None else self.versions.read("rows", ROWS, record).select(FACT.names)
 
     def daily(self) -> DataFrame:
-        return self.versions.read("daily", DAILY, self.versions.last()).drop("_month")
+        return self.versions.read("daily", DAILY, self.versions.last()).drop("_period")
 
     def agencies(self) -> DataFrame:
-        return models.agency_totals(self.versions.read("names", NAMES, self.versions.last()).drop("_month"))
+        return models.agency_totals(self.versions.read("names", NAMES, self.versions.last()).drop("_period"))
 
     def folds(self) -> DataFrame:
         """Folds of the checks on the fact, one for each partition."""
@@ -114,9 +114,12 @@ class FactTable:
 
     # Changing it.
 
+    def _period_of(self) -> Column:
+        return F.coalesce(F.date_format("created_date", self.grain), F.lit("none"))
+
     def _placed(self, requests: DataFrame, record: dict) -> DataFrame:
         return (models.build_fact(requests, extra=("agency_name",))
-                .withColumn("_month", month_of(F.col("created_date")))
+                .withColumn("_period", self._period_of())
                 .withColumn("_bucket", F.pmod(F.xxhash64("request_id"), F.lit(record["buckets"])).cast("int"))
                 .select(ROWS.names))
 
@@ -132,11 +135,11 @@ class FactTable:
         parts = self.versions.write("rows", rows, run, BY)
         written = {"rows": parts} | self._described(record, run)
         fact = self.versions.read_run("rows", ROWS, run)
-        cells = models.daily_cells(fact).withColumn("_month", month_of(F.col("created_date")))
-        written["cells"] = self.versions.write("cells", cells.select(CELLS.names), run, ("_month",))
+        cells = models.daily_cells(fact).withColumn("_period", self._period_of())
+        written["cells"] = self.versions.write("cells", cells.select(CELLS.names), run, ("_period",))
         written["daily"] = self._write_daily(run)
-        names = models.name_counts(fact, "_month")
-        written["names"] = self.versions.write("names", names.select(NAMES.names), run, ("_month",))
+        names = models.name_counts(fact, "_period")
+        written["names"] = self.versions.write("names", names.select(NAMES.names), run, ("_period",))
         written["repeats"] = self.versions.write("repeats", Q.unique(fact, "request_id"), run)
         gone = {} if before is None else {t: list(p) for t, p in before["tables"].items()}
         self._commit(before, run, written, gone, record)
@@ -167,7 +170,7 @@ class FactTable:
         gone = [p for p in touched if p not in written["rows"]]
         for p in gone:
             record["parts"].pop(p, None)
-        months = {_month(p) for p in touched}
+        months = {_period(p) for p in touched}
         written["cells"] = self._write_cells(before, run, old, new, months)
         written["daily"] = self._write_daily(run) if written["cells"] else []
         written["names"] = self._write_names(before, run, old, new, months, written["rows"], gone)
@@ -246,20 +249,20 @@ class FactTable:
     def _write_cells(self, before: dict, run: str, old: DataFrame, new: DataFrame, months: set[str]) -> list[str]:
         """Cells of these months with the images counted in."""
         signed = new.withColumn("_sign", F.lit(1)).unionByName(old.withColumn("_sign", F.lit(-1)))
-        change = models.daily_cells(signed, F.col("_sign")).withColumn("_month", month_of(F.col("created_date")))
+        change = models.daily_cells(signed, F.col("_sign")).withColumn("_period", self._period_of())
         cells = (self.versions.read("cells", CELLS, before, months).unionByName(change.select(CELLS.names))
                  .groupBy([c for c in CELLS.names if c not in ("n", "closed")])
                  .agg(F.sum("n").alias("n"), F.sum("closed").alias("closed")).where("n > 0"))
-        return self.versions.write("cells", cells.select(CELLS.names), run, ("_month",))
+        return self.versions.write("cells", cells.select(CELLS.names), run, ("_period",))
 
     def _write_daily(self, run: str) -> list[str]:
-        daily = models.daily_from_cells(self.versions.read_run("cells", CELLS, run).drop("_month"))
-        return self.versions.write("daily", daily.withColumn("_month", month_of(F.col("created_date"))).select(DAILY.names), run, ("_month",))
+        daily = models.daily_from_cells(self.versions.read_run("cells", CELLS, run).drop("_period"))
+        return self.versions.write("daily", daily.withColumn("_period", self._period_of()).select(DAILY.names), run, ("_period",))
 
     def _write_names(self, before: dict, run: str, old: DataFrame, new: DataFrame, months: set[str],
                      written: list[str], gone: list[str]) -> list[str]:
         """Counts of these months with the images counted in, and first and last dates."""
-        key = ["_month", "agency_code", "agency_name"]
+        key = ["_period", "agency_code", "agency_name"]
         signed = new.withColumn("_sign", F.lit(1)).unionByName(old.withColumn("_sign", F.lit(-1)))
         # A date that one row loses and another gains is not lost.
         net = signed.groupBy(*key, "created_at").agg(
@@ -277,9 +280,9 @@ class FactTable:
         open_end = F.coalesce((F.col("lost_first") <= F.col("first")) | (F.col("lost_last") >= F.col("last")), F.lit(False))
         self.versions.write("merged", merged.withColumn("open_end", open_end), run)
         merged = self.versions.read_run("merged", T.StructType([*NAMES, T.StructField("open_end", T.BooleanType())]), run)
-        again = {r["_month"] for r in merged.where("open_end").select("_month").distinct().collect()}
+        again = {r["_period"] for r in merged.where("open_end").select("_period").distinct().collect()}
         if again:
-            inside = {p for p in {*before["tables"].get("rows", {}), *written} if _month(p)[7:] in again} - set(gone)
+            inside = {p for p in {*before["tables"].get("rows", {}), *written} if _period(p)[len("_period="):] in again} - set(gone)
             after = {"tables": {"rows": {**before["tables"].get("rows", {}), **dict.fromkeys(written, run)}}}
             dates = (self.versions.read("rows", ROWS, after, inside).groupBy(*key)
                      .agg(F.min("created_at").alias("_first"), F.max("created_at").alias("_last")))
@@ -287,4 +290,4 @@ class FactTable:
             merged = (merged.alias("m").join(dates.alias("d"), same, "left")
                       .select(*(F.when(F.col("open_end"), F.col(f"d._{c}")).otherwise(F.col(f"m.{c}")).alias(c) if c in ("first", "last")
                                 else F.col(f"m.{c}") for c in NAMES.names)))
-        return self.versions.write("names", merged.select(NAMES.names), run, ("_month",))
+        return self.versions.write("names", merged.select(NAMES.names), run, ("_period",))

@@ -95,38 +95,27 @@ class Versions:
         return record
 
     def remove_old(self) -> None:
-        """Delete what the last two records don't read: replaced partitions, what older runs
-        that died left behind, and older records. Runs that build on the record before the
-        newest may still be at work, to be refused when they commit."""
+        """Delete what the last two records don't read: partitions that older records name,
+        what older runs that died left behind, and older records. Runs that build on the
+        record before the newest may still be at work, to be refused when they commit."""
         names = self._records()
-        kept, runs = set(), set()
-        for n in names[-2:]:
-            record = self._read(n)
-            runs.add(record["run"])
-            kept |= {(t, r, p) for t, parts in record["tables"].items() for p, r in parts.items()}
-        newest = int(names[-1]) if names else 0
+        if not names:
+            return
+        records = [self._read(n) for n in names]
+        named = [{(t, r, p) for t, parts in x["tables"].items() for p, r in parts.items()} for x in records]
+        kept, runs = set().union(*named[-2:]), {x["run"] for x in records[-2:]}
+        alive, tables = runs | {r for _, r, _ in kept}, {t for t, _, _ in set().union(*named)}
         for table in (n for n in self._names() if n != "commits"):
             for folder in self._names(table):
                 run = folder.removeprefix("_run=")
-                if not folder.startswith("_run=") or (int(run[:12]) >= newest and run not in runs):
-                    continue
-                own = {p for t, r, p in kept if t == table and r == run}
-                if not own and run not in runs:
+                if folder.startswith("_run=") and run not in (alive if table in tables else runs) and int(run[:12]) < int(names[-1]):
                     self._delete(table, folder)
-                for p in self._partitions(table, folder) if own and "" not in own else ():
-                    if p not in own:
-                        self._delete(table, folder, p)
+        for table, run, partition in set().union(*named[:-2]) - kept:
+            if partition and run in alive:
+                self._delete(table, f"_run={run}", partition)
         for name in names[:-2]:
             self._delete("commits", name)
 
-    def _partitions(self, table: str, folder: str) -> list[str]:
-        found, inner = [], [""]
-        while inner:
-            deeper = [f"{p}/{n}".lstrip("/") for p in inner for n in self._names(table, folder, *filter(None, [p])) if "=" in n]
-            found = found if deeper else inner
-            inner = deeper
-        return [p for p in found if p]
-
     def _delete(self, *parts: str) -> None:
         files, path = self._place(*parts)
         files.delete(path, True)

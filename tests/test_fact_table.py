@@ -126,8 +126,8 @@ def test_an_agencys_last_request_moves_away(spark, tmp_path):
     assert_equal_to_a_rebuild(fact, staged)
     record = fact.versions.last()
     assert {t: sorted(p) for t, p in record["tables"].items() if t in ("rows", "daily")} == {
-        "rows": ["_month=2024-02/_bucket=0", "_month=2024-03/_bucket=0"], "daily": ["_month=2024-02", "_month=2024-03"]}
-    assert record["parts"]["_month=2024-03/_bucket=0"] == [1, "2024-03-05", "2024-03-05"]
+        "rows": ["_period=2024-02/_bucket=0", "_period=2024-03/_bucket=0"], "daily": ["_period=2024-02", "_period=2024-03"]}
+    assert record["parts"]["_period=2024-03/_bucket=0"] == [1, "2024-03-05", "2024-03-05"]
 
 
 def test_requests_without_an_id_are_one_request(spark, tmp_path):

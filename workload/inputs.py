@@ -92,12 +92,13 @@ _landings: dict[tuple[str, str], str] = {}
 
 
 def stored_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landed rows as the table that a run builds its models from, partitioned by
-    batch date. It is an input: a session writes it once for each set of tables."""
+    """The landed rows as the table that a run builds its models from. It is an input: a
+    session writes it once for each set of tables. It is not partitioned by batch date, as
+    a run's landing is: these rows would be thousands of batches of a few rows."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landings:
         path = f"{shared_dir(spark)}/landing"
-        tables.replace_batches(landed(spark, sf_dir), path)
+        landed(spark, sf_dir).write.parquet(path)
         _landings[key] = path
     return tables.read_landing(spark, _landings[key])
 

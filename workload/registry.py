@@ -148,7 +148,7 @@ def code_dim(spark, d):
 def incremental_fact(spark, d):
     """The fact after a first load of the batches before a date, then an update."""
     staged = models.stage(I.stored_landing(spark, d))
-    fact = FactTable(spark, f"{shared_dir(spark)}/fact")
+    fact = FactTable(spark, f"{shared_dir(spark)}/fact", grain="yyyy")  # few rows a year
     fact.update(staged.where(F.col("batch_date") < F.lit(CUT)))
     fact.update(staged)
     return fact.read()
