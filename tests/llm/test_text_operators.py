@@ -226,6 +226,7 @@ def test_language_odd_rows(spark, net):
 
 
 def test_convolution_by_plain_loops(net):
+    net = net[0]
     rows = language.windows("the river walks über die Straße, l'été".encode() * 9)
     got = language.logits(net, rows)
     wide = max(language.WIDTHS)
