@@ -174,3 +174,33 @@ def test_schema_listing(spark):
     assert len(rows) == 19 and [r.field for r in rows if r.required] == [
         "request_id", "created_at", "agency_code", "complaint_type"]
     assert len(D.SOURCE_NAMES) == 19
+
+
+def test_rows_already_dealt_out_are_written_where_they_are(spark, tmp_path):
+    """Without another shuffle: each task writes a file for each of its batches."""
+    day = F.when(F.col("id") % 2 == 0, "2024-01-01").otherwise("2024-01-02")
+    rows = spark.range(0, 40, 1, 2).select(*[
+        (day if c == "_batch_date" else F.col("id").cast("string")).alias(c) for c in [*FIELD_NAMES, *LINEAGE]])
+    for name, dealt, files in (("dealt", True, 2), ("not", False, 1)):
+        path = f"{tmp_path}/{name}"
+        tables.replace_batches(rows, path, dealt=dealt)
+        assert len(list((tmp_path / name / "_batch_date=2024-01-01").glob("*.parquet"))) == files
+        assert sorted(map(tuple, tables.read_landing(spark, path).collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_landed_rows_are_dealt_out_before_they_are_widened(spark, tmp_path):
+    from workload import inputs as I
+
+    orders = [(k, dt.datetime(1996, 1, k), "1-URGENT", "O", "unread") for k in (1, 2, 3)]
+    lines = [(k, n, 97 + n, k, 10.5, "R", "F", dt.datetime(1996 + n, 2, k)) for k, *_ in orders for n in (1, 2)]
+    spark.createDataFrame(orders, "o_orderkey int, o_orderdate timestamp_ntz, o_orderpriority string, o_orderstatus string, "
+                          "o_comment string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey int, l_linenumber int, l_partkey int, l_suppkey int, l_extendedprice double, l_returnflag string, "
+                          "l_linestatus string, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    dealt = I.landed(spark, str(tmp_path), by=F.year("l_shipdate"))
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, I.landed(spark, str(tmp_path)).collect()))
+    node = dealt._jdf.queryExecution().optimizedPlan()
+    assert node.output().size() == len(dealt.columns)
+    while node.nodeName() != "RebalancePartitions":
+        node = node.children().apply(0)
+    assert node.output().size() <= 12
