@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reqmill.plans import models
-from reqmill.plans.models import dedup_order
+from reqmill.plans.models import candidate, winner
 
 
 def versions(staged: DataFrame, first: dt.date, days: int, key: str = "request_id") -> DataFrame:
@@ -29,18 +29,16 @@ def versions(staged: DataFrame, first: dt.date, days: int, key: str = "request_i
     """
     last = first + dt.timedelta(days=days - 1)
     on = F.greatest(F.col("batch_date"), F.lit(first))
-    payload = F.struct(*[c for c in staged.columns if c != key]).alias("row")
     daily = (staged.where((F.col("batch_date") <= F.lit(last)) | F.col("batch_date").isNull())
              .groupBy(key, F.coalesce(on, F.lit(first)).alias("_on"))
-             .agg(F.min(F.struct(*dedup_order(staged), payload)).alias("best"), F.count("*").alias("n")))
+             .agg(F.min(candidate(staged, key)).alias("best"), F.count("*").alias("n")))
     by_day = Window.partitionBy(key).orderBy("_on")
     sofar = by_day.rowsBetween(Window.unboundedPreceding, 0)
     state = daily.select(key, "_on", F.min("best").over(sofar).alias("best"), (F.sum("n").over(sofar) > 1).alias("was_relanded"))
     before = F.lag(F.struct("best", "was_relanded")).over(by_day)
     changed = state.withColumn("_same", F.struct("best", "was_relanded").eqNullSafe(before)).where(~F.col("_same"))
     return changed.select(
-        *[F.col(key) if c == key else F.col(f"best.row.{c}").alias(c) for c in staged.columns],
-        "was_relanded", F.col("_on").alias("valid_from"), F.lead("_on").over(by_day).alias("valid_to"))
+        *winner(staged, key), "was_relanded", F.col("_on").alias("valid_from"), F.lead("_on").over(by_day).alias("valid_to"))
 
 
 def fact_versions(staged: DataFrame, first: dt.date, days: int) -> DataFrame:

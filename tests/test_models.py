@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reqmill.functions import scalars as S
 from reqmill.plans import models
 from reqmill.schema import FIELD_NAMES, LINEAGE
+from reqmill.session import apply_defaults
 
 TEXTS = ["2024-01-15T10:00:00.000", "2024-01-15", "2024", "2024-01", "10:00:00", "T10:00:00",
          "2024-01-15T10:00:00+00:00", "2024-13-01", "2024-1-5 1:2:3", "2024-01-15 10:00",
@@ -183,3 +184,25 @@ def test_changed_requests_with_ties_and_nulls(spark):
     since = dt.date(2024, 1, 9)
     plain = models.deduplicate(staged).where(F.col("batch_date") >= F.lit(since))
     assert sorted(map(str, models.changed_requests(staged, since).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_strings_of_the_order_are_carried_once(spark):
+    staged = models.stage(landed(spark, [("1", "2024-01-01", "", "2024-01-02", "2024-01-02", "a", "r")]))
+    best = staged.select(models.candidate(staged, "request_id").alias("best")).schema["best"].dataType
+    assert {"_source_system", "_batch_id"} <= set(best.names)
+    assert not {"source_system", "batch_id"} & set(best["row"].dataType.names)
+    row = models.deduplicate(staged).first()
+    assert (row.source_system, row.batch_id) == tuple(staged.select("source_system", "batch_id").first())
+
+
+def test_wide_rows_are_read_in_small_splits(spark):
+    """Unless the session says otherwise, and for requests only."""
+    from workload import inputs
+
+    session, size = spark.newSession(), "spark.sql.files.maxPartitionBytes"
+    apply_defaults(session)
+    assert session.conf.get(size) == spark.newSession().conf.get(size)
+    inputs.prepare(session)
+    assert session.conf.get(size) == "32m"
+    session.conf.set(size, "5m")
+    assert inputs.prepare(session).conf.get(size) == "5m"
