@@ -51,6 +51,7 @@ FACT = _type(FACT_COLUMNS)
 ROWS = _type(f"{FACT_COLUMNS}, agency_name string, _period string, _bucket int")
 REPEATS = _type("unique_field string, n_records bigint")
 KEYS = _type("word long, bits binary, _period string, _bucket int")
+HITS = _type("_file string, word long, bits binary, n bigint, same bigint, _period string, _bucket int")
 CELLS = _type("created_date date, borough string, agency_code string, by_type boolean, complaint_type string, "
               "hours double, n bigint, closed bigint, _period string")
 DAILY = _type("created_date date, borough string, agency_code string, requests_opened bigint, requests_closed bigint, "
@@ -59,6 +60,16 @@ DAILY = _type("created_date date, borough string, agency_code string, requests_o
 NAMES = _type("agency_code string, agency_name string, n bigint, closed bigint, first timestamp_ntz, last timestamp_ntz, _period string")
 
 
+# Bitmaps of rows that are sent to all executors.
+BITMAP_BYTES = 128 << 20
+
+
+def _is_set(position: str) -> str:
+    """SQL that says if `bits` has that position."""
+    return (f"shiftright(cast(conv(hex(substring(bits, cast({position} div 8 as int) + 1, 1)), 16, 10) as int), "
+            f"cast({position} % 8 as int)) & 1 = 1")
+
+
 def _partition(row) -> str:
     return f"_period={row['_period']}/_bucket={row['_bucket']}"
 
@@ -132,7 +143,7 @@ class FactTable:
         record = {"mark": FIRST_DATE.isoformat(), "buckets": self.buckets, "positions": self.positions, "parts": {}}
         run = self.versions.begin(before)
         rows = self._placed(models.deduplicate(staged), record)
-        parts = self.versions.write("rows", rows, run, BY)
+        parts = self.versions.write_in_place("rows", rows, run, BY)
         written = {"rows": parts} | self._described(record, run)
         fact = self.versions.read_run("rows", ROWS, run)
         cells = models.daily_cells(fact).withColumn("_period", self._period_of())
@@ -156,16 +167,19 @@ class FactTable:
             return
         since = reprocess_from or dt.date.fromisoformat(before["mark"])
         run = self.versions.begin(before)
-        images = self._images(before, run, self._placed(models.changed_requests(staged, since), before))
-        new, old = images.select("new.*"), images.where("old is not null").select("old.*")
-        touched = {_partition(r) for r in new.unionByName(old).select(*BY).distinct().collect()}  # as many as parts at most
+        came = self.versions.write_in_place("rows", self._placed(models.changed_requests(staged, since), before), run, BY)
+        incoming = {"tables": {"rows": dict.fromkeys(came, run)}}
+        hits, touched = self._changes(before, incoming, run)
+        self.versions.drop("rows", run, set(came) - touched if touched else None)
         if not touched:
             return
+        # The files of a frame are those at the time it is made: rows that stay are no part of it.
+        new = self.versions.read("rows", ROWS, incoming, touched)
         changed = new.select("request_id")
-        stay = self.versions.read("rows", ROWS, before, touched)
-        stay = stay.join(changed.withColumnRenamed("request_id", "_id"), F.col("request_id").eqNullSafe(F.col("_id")), "left_anti")
+        rows = self._marked(before, hits, touched)
+        old, stay = rows.where("_hit").select(ROWS.names), rows.where("not _hit").select(ROWS.names)
         record = {k: before[k] for k in ("mark", "buckets", "positions", "parts")}
-        written = {"rows": self.versions.write("rows", stay.unionByName(new), run, BY)}
+        written = {"rows": self.versions.write("rows", stay, run, BY, "append")}
         written |= self._described(record, run)
         gone = [p for p in touched if p not in written["rows"]]
         for p in gone:
@@ -185,32 +199,63 @@ class FactTable:
     def _remove_old(self) -> None:
         self.versions.remove_old()
 
-    def _images(self, before: dict, run: str, incoming: DataFrame) -> DataFrame:
-        """(new, old) of the requests whose row is not what it was; old is null for new
-        requests."""
-        self.versions.write("incoming", incoming, run)
-        incoming = self.versions.read_run("incoming", ROWS, run)
-        ids = incoming.select(F.col("request_id").alias("_id"))
+    def _changes(self, before: dict, incoming: dict, run: str) -> tuple[DataFrame, set[str]]:
+        """Which old rows the incoming ones take the place of, as bitmaps of their places in
+        their files, and the parts where a row is not what it was.
+
+        Incoming rows lie where they will be read from and old ones are filtered where they
+        are: what is shuffled of a row is its id, its place and a hash of it. Rows that
+        are the same before and after cancel out in the marts, so it only matters whether
+        all of a part's are: then rows are compared, not hashes.
+        """
+        rows = self.versions.read("rows", ROWS, incoming)
+        ids = rows.select(F.col("request_id").alias("_id"))
         same = F.col("request_id").eqNullSafe(F.col("_id"))
         # First the parts that may hold one of the ids by their bitmaps, then those that
         # do by their ids alone, then the rows.
-        maybe = self._may_hold(before, incoming)
+        maybe = self._may_hold(before, rows)
         holding = (self.versions.read("rows", ROWS, before, maybe).select("request_id", *BY)
                    .join(ids, same, "left_semi").select(*BY).distinct().collect())  # as many as parts at most
-        found = self.versions.read("rows", ROWS, before, {_partition(r) for r in holding}).join(ids, same, "left_semi")
-        old = found.select(F.struct(*ROWS.names).alias("old"))
-        both = incoming.select(F.struct(*ROWS.names).alias("new")).join(
-            old, F.col("new.request_id").eqNullSafe(F.col("old.request_id")), "left")
-        self.versions.write("images", both.where(~F.col("new").eqNullSafe(F.col("old"))), run)
-        return self.versions.read_run("images", T.StructType([T.StructField("new", ROWS), T.StructField("old", ROWS)]), run)
+        old = self.versions.read_places("rows", ROWS, before, {_partition(r) for r in holding}).select(
+            "request_id", *BY, self._hash().alias("_hash"), "_file", (F.col("_row") + 1).alias("_at"))
+        new = rows.select(F.col("request_id").alias("_id"), self._hash().alias("_new"))
+        hits = (old.join(new, same).groupBy(*BY, "_file", F.bitmap_bucket_number("_at").alias("word"))
+                .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("bits"), F.count("*").alias("n"),
+                     F.count_if(F.col("_hash") == F.col("_new")).alias("same")))
+        self.versions.write("hits", hits.select(HITS.names), run)
+        hits = self.versions.read_run("hits", HITS, run)
+        arrived = {_partition(r): r["n"] for r in rows.groupBy(*BY).agg(F.count("*").alias("n")).collect()}
+        left = {_partition(r): (r["n"], r["same"]) for r in hits.groupBy(*BY).agg(F.sum("n").alias("n"), F.sum("same").alias("same")).collect()}
+        parts = {*arrived, *left}
+        touched = {p for p in parts if left.get(p) != (arrived.get(p),) * 2}
+        if alike := parts - touched:
+            was = self._marked(before, hits, alike).where("_hit").select(ROWS.names)
+            other = self.versions.read("rows", ROWS, incoming, alike).subtract(was)
+            touched |= {_partition(r) for r in other.select(*BY).distinct().collect()}
+        return hits, touched
+
+    def _hash(self) -> Column:
+        """Of a whole row, with its part and with which of its values are null."""
+        nulls = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in ROWS.names])
+        return F.xxhash64(nulls, *ROWS.names)
+
+    def _marked(self, before: dict, hits: DataFrame, partitions: set[str]) -> DataFrame:
+        """The rows of these parts as they were, and in `_hit` whether another has come for
+        their request."""
+        rows = self.versions.read_places("rows", ROWS, before, partitions).withColumn("_at", F.col("_row") + 1)
+        rows = rows.withColumns({"word": F.bitmap_bucket_number("_at"), "_bit": F.bitmap_bit_position("_at")})
+        bits = hits.select("_file", "word", "bits")
+        # A bit for each row of the parts, whose rows are known.
+        if sum(before["parts"][p][0] for p in partitions if p in before["parts"]) < 8 * BITMAP_BYTES:
+            bits = F.broadcast(bits)
+        return rows.join(bits, ["_file", "word"], "left").withColumn("_hit", F.coalesce(F.expr(_is_set("_bit")), F.lit(False)))
 
     def _may_hold(self, before: dict, incoming: DataFrame) -> set[str]:
         """The parts whose bitmap has the position of one of the ids."""
         position = self._position(before)
         asked = (incoming.select("_bucket", F.bitmap_bucket_number(position).alias("word"), F.bitmap_bit_position(position).alias("bit"))
                  .groupBy("_bucket", "word").agg(F.collect_set("bit").alias("_bits")))  # 32,768 at most
-        has = F.expr("exists(_bits, p -> shiftright(cast(conv(hex(substring(bits, cast(p div 8 as int) + 1, 1)), 16, 10) as int), "
-                     "cast(p % 8 as int)) & 1 = 1)")
+        has = F.expr(f"exists(_bits, p -> {_is_set('p')})")
         hits = self.versions.read("keys", KEYS, before).join(asked, ["_bucket", "word"]).where(has).select(*BY).distinct()
         return {_partition(r) for r in hits.collect()}
 

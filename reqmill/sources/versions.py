@@ -16,9 +16,15 @@ import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Files of one run in a partition that are always good enough, and bytes that a file should
+# have on average where there are more.
+FILES, FILE_BYTES = 8, 1 << 18
+
+
 class Versions:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -51,10 +57,32 @@ class Versions:
         """The name of a run that builds on that record."""
         return f"{1 + (before['version'] if before else 0):012d}-{uuid.uuid4().hex[:8]}"
 
-    def write(self, table: str, df: DataFrame, run: str, by: tuple[str, ...] = ()) -> list[str]:
-        """Write df as the run's partitions of the table; returns their names."""
+    def write(self, table: str, df: DataFrame, run: str, by: tuple[str, ...] = (), mode: str = "error") -> list[str]:
+        """Write df as the run's partitions of the table; returns the names of those that
+        the run has now."""
+        return self._write(table, df.hint("rebalance", *by) if by else df, run, by, mode)
+
+    def write_in_place(self, table: str, df: DataFrame, run: str, by: tuple[str, ...]) -> list[str]:
+        """As write(), for whole rows: each task writes the rows that it has, so that they are
+        not shuffled once more. A row in a file has a fraction of its size in a shuffle.
+        Only if partitions get many small files that way, they are read and dealt out."""
+        loose = f"{table}_loose"
+        parts = self._write(loose, df, run, by)
+        files, folder = self._place(loose, f"_run={run}")
+        number = sum(len(self._names(loose, f"_run={run}", p)) for p in parts)
+        if number > FILES * len(parts) and files.getContentSummary(folder).getLength() < FILE_BYTES * number:
+            parts = self.write(table, self.read_run(loose, df.schema, run), run, by)
+            self.drop(loose, run)
+            return parts
+        _, place = self._place(table, f"_run={run}")
+        files.mkdirs(place.getParent())
+        if not files.rename(folder, place):
+            raise RuntimeError(f"cannot move {folder} to {place}")
+        return parts
+
+    def _write(self, table: str, df: DataFrame, run: str, by: tuple[str, ...], mode: str = "error") -> list[str]:
         folder = f"_run={run}"
-        writer = (df.hint("rebalance", *by) if by else df).write
+        writer = df.write.mode(mode).option("compression", "zstd")
         (writer.partitionBy(*by) if by else writer).parquet(f"{self.path}/{table}/{folder}")
         found = [""]
         for _ in by:
@@ -70,11 +98,23 @@ class Versions:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", f"{self.path}/{table}").parquet(*folders).select(schema.names)
 
+    def read_places(self, table: str, schema: T.StructType, record: dict | None, partitions) -> DataFrame:
+        """As read(), with the place of each row: its file and its number in it."""
+        rows = self.read(table, schema, record, partitions)
+        if not rows.inputFiles():
+            return rows.withColumns({"_file": F.lit(""), "_row": F.lit(0).cast("long")})
+        return rows.select(*schema.names, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
     def read_run(self, table: str, schema: T.StructType, run: str) -> DataFrame:
         """What a run has written, committed or not."""
         return (self.spark.read.schema(schema).option("basePath", f"{self.path}/{table}")
                 .parquet(f"{self.path}/{table}/_run={run}").select(schema.names))
 
+    def drop(self, table: str, run: str, partitions=None) -> None:
+        """Delete what a run that is not committed has written, or some partitions of it."""
+        for partition in [None] if partitions is None else partitions:
+            self._delete(table, f"_run={run}", *filter(None, [partition]))
+
     def commit(self, before: dict | None, run: str, written: dict[str, list[str]],
                removed: dict[str, list[str]], kept: dict) -> dict:
         """Make the written partitions the ones that are read, and drop the removed ones."""

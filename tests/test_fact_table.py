@@ -2,13 +2,16 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from reqmill.functions import scalars as S
 from reqmill.plans import models
 from reqmill.plans.fact_table import BY, FACT, ROWS, FactTable, _partition
+from reqmill.sources.versions import Versions
 from test_models import landed
 
 
@@ -204,3 +207,69 @@ def test_bitmaps_find_every_part_that_holds_an_id(spark, tmp_path):
     maybe = fact._may_hold(record, some)
     assert holding <= maybe and len(maybe) < len(record["tables"]["rows"])
     assert sorted(r.request_id for r in fact.read().select(FACT.names).orderBy("request_id").limit(3).collect()) == ["r0", "r1", "r10"]
+
+
+def wide_shuffles(plan):
+    """Shuffles in an explained plan that carry whole rows, other than the fold by request."""
+    inputs = re.findall(r"\) Exchange\nInput \[(\d+)\]: \[(.*)\]", plan)
+    return sum(int(n) >= len(FACT.names) or re.search(r"\b(new|old)#", columns) is not None for n, columns in inputs)
+
+
+def test_a_large_update_shuffles_no_whole_rows_but_those_that_stay(spark, tmp_path, monkeypatch):
+    """Most requests change, and nothing is small enough to be broadcast by itself."""
+    rng = random.Random(7)
+    fact, rows, shuffled = FactTable(spark, str(tmp_path / "fact"), grain="yyyy"), [], []
+    parquet = DataFrameWriter.parquet
+
+    def explained(self, path, *args, **options):
+        shuffled.append(wide_shuffles(self._df._sc._jvm.PythonSQLUtils.explainString(self._df._jdf.queryExecution(), "formatted")))
+        return parquet(self, path, *args, **options)
+    monkeypatch.setattr(DataFrameWriter, "parquet", explained)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for day, most in ((1, 0), (2, 1)):
+            rows += random_batch(rng, day, 80, 60)
+            staged, shuffled[:] = models.stage(with_names(landed(spark, rows))), []
+            fact.update(staged)
+            assert len(shuffled) > 4 and sum(shuffled) <= most
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert_equal_to_a_rebuild(fact, staged)
+
+
+def test_rows_of_equal_hashes_are_compared(spark, tmp_path, monkeypatch):
+    """Only a status changes, then nothing, then an id is added to a part that is otherwise the same."""
+    monkeypatch.setattr(FactTable, "_hash", lambda self: F.lit(0).cast("long"))
+    fact = FactTable(spark, str(tmp_path / "fact"))
+    rows = [(i, "2024-01-01", "", "2024-07-01", "2024-07-01", "a", "r") for i in ("1", "2")]
+    staged = models.stage(landed(spark, rows))
+    fact.update(staged)
+    changed = staged.withColumn("status", F.when(F.col("request_id") == "2", F.lit("Closed")).otherwise(F.col("status")))
+    for _ in range(2):
+        fact.update(changed)
+        assert_equal_to_a_rebuild(fact, changed)
+    assert fact.versions.last()["version"] == 2
+    more = changed.unionByName(changed.where("request_id = '1'").withColumn("request_id", F.lit("3")))
+    fact.update(more)
+    assert_equal_to_a_rebuild(fact, more)
+
+
+def test_a_swap_with_a_null_is_a_change(spark, tmp_path):
+    fact = FactTable(spark, str(tmp_path / "fact"))
+    staged = models.stage(landed(spark, [("1", "2024-01-01", "", "2024-07-01", "2024-07-01", "a", "r")]))
+    text, none = F.lit("same"), F.lit(None).cast("string")
+    for city, street in ((text, none), (none, text)):
+        rows = staged.withColumns({"city": city, "street_address": street})
+        fact.update(rows)
+        assert_equal_to_a_rebuild(fact, rows)
+
+
+def test_rows_are_written_where_they_are_unless_files_are_many_and_small(spark, tmp_path):
+    versions, rows = Versions(spark, str(tmp_path / "t")), spark.range(0, 4000, 1, 20).selectExpr("id", "id % 2 as part")
+    for run, frame, most in (("000000000001-few", rows.coalesce(3), 6), ("000000000002-many", rows, 4)):
+        assert versions.write_in_place("rows", frame, run, ("part",)) == ["part=0", "part=1"]
+        files = list((tmp_path / "t" / "rows" / f"_run={run}").glob("part=*/*.parquet"))
+        assert len(files) == most if frame is not rows else len(files) <= most
+        assert sorted(versions.read_run("rows", rows.schema, run).collect()) == sorted(rows.collect())
+        assert not (tmp_path / "t" / "rows_loose" / f"_run={run}").exists()
