@@ -208,7 +208,7 @@ class FactTable:
         are the same before and after cancel out in the marts, so it only matters whether
         all of a part's are: then rows are compared, not hashes.
         """
-        rows = self.versions.read("rows", ROWS, incoming)
+        rows = self.versions.read("rows", ROWS, incoming, set(incoming["tables"]["rows"]))
         ids = rows.select(F.col("request_id").alias("_id"))
         same = F.col("request_id").eqNullSafe(F.col("_id"))
         # First the parts that may hold one of the ids by their bitmaps, then those that
